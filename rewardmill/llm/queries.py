@@ -6,8 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rewardmill.llm import packing
+from rewardmill.llm import langid, packing, toxicity
+from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
 TOKENIZERS = os.environ.get("REWARDMILL_TOKENIZERS", "/opt/tokenizers")
@@ -40,3 +42,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=4096
     )
+
+
+@query
+def op3_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from profiles of the rows whose id hash mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(doc_bucket("doc_id", 4) == 2, F.lit(False))
+    return langid.identify(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "distance"
+    )
+
+
+@query
+def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of rows whose id hash mod 3 is not 1 are learned."""
+    held_out = F.coalesce(doc_bucket("doc_id", 3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
