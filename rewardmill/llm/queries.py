@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import langid, packing, toxicity
+from rewardmill.llm import jaccard, langid, packing, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -61,3 +61,9 @@ def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.classify(docs, table(spark, sf_dir, "labels"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: five-word shingles, Jaccard 0.75."""
+    return jaccard.components(table(spark, sf_dir, "documents"), n=5, percent=75)
