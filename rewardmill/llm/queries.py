@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import jaccard, langid, packing, toxicity
+from rewardmill.llm import jaccard, langid, maxscore, nndescent, packing, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -67,3 +67,36 @@ def op10_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: five-word shingles, Jaccard 0.75."""
     return jaccard.components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
+@query
+def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 best other rows of every 20th embedding by integer inner product, exactly."""
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLES["op5_maxscore"] = """
+WITH flat AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS d, unnest(embedding) AS x
+  FROM embeddings),
+bad AS (SELECT DISTINCT vec_id FROM flat WHERE x IS NULL OR NOT isfinite(x)),
+term AS (
+  SELECT vec_id, d, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS w
+  FROM flat WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM term q JOIN term c ON q.d = c.d AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+  GROUP BY q.vec_id, c.vec_id),
+ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest other rows of every 20th embedding by graph search over an NN-descent graph."""
+    return nndescent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
