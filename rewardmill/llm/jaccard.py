@@ -391,23 +391,12 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
 
 
 def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link; sets are read again from the texts needed."""
-    wanted = (
-        pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-        .join(classes, "k1").select("doc_id").distinct()
-    )
+    """The pairs (a, b) of classes that link.
 
-    def sets(batches):
-        for pdf in batches:
-            out = {}
-            for text in pdf["text"]:
-                tokens = shingle_set(text, n)
-                if len(tokens):
-                    out[digest(tokens)[0]] = tokens.tobytes()
-            yield pd.DataFrame({"member": list(out), "tokens": list(out.values())})
-
-    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id").select("text")
-    tokens = texts.mapInPandas(sets, "member long, tokens binary")
+    Texts travel, not sets: they are half the bytes. Each is read again from its class's
+    representative and meets its query's block; a text whose set isn't the class's (an id
+    that stands for several texts) is ignored there.
+    """
     per = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_salts", F.ceil(F.col("_n") / QUERY_BLOCK).cast("int")
     )
@@ -419,12 +408,15 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
         "a", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"),
         F.col("a").alias("member"), F.lit(0).alias("role"),
     )
+    wanted = asked.union(queries).join(
+        classes.select(F.col("k1").alias("member"), "doc_id"), "member"
+    )
     dealt = (
-        asked.union(queries).join(tokens, "member")
+        docs.join(wanted.hint("shuffle_hash"), "doc_id")
+        .select("a", "salt", "role", "member", "text")
         .repartition(shuffle_partitions(docs.sparkSession), "a", "salt")
         .sortWithinPartitions("a", "salt", "role", "member")
-        .select("a", "salt", "role", "member", "tokens")
-    )
+    )
 
     def run(batches):
         key, query, names, members, out = None, None, [], [], []
@@ -435,14 +427,18 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
                     out.append((key[0], names[k]))
 
         for pdf in batches:
-            for a, salt, role, member, raw in zip(*(pdf[x] for x in pdf.columns)):
+            for a, salt, role, member, text in zip(*(pdf[x] for x in pdf.columns)):
                 if (a, salt) != key:
                     flush()
                     key, query, names, members = (a, salt), None, [], []
-                tokens = np.frombuffer(raw, np.uint64)
+                if role == 0 and query is not None or names and names[-1] == member:
+                    continue
+                tokens = shingle_set(text, n)
+                if not len(tokens) or digest(tokens)[0] != member:
+                    continue
                 if role == 0:
                     query = tokens
-                elif not names or names[-1] != member:
+                else:
                     names.append(member)
                     members.append(tokens)
         flush()
