@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import jaccard, langid, maxscore, nndescent, packing, toxicity
+from rewardmill.llm import jaccard, langid, maxscore, nndescent, packing, pii, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -100,3 +100,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 nearest other rows of every 20th embedding by graph search over an NN-descent graph."""
     return nndescent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base kinds, and identifiers in learned contexts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.extract(docs, pii.learn_patterns(docs))
