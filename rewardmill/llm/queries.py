@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import jaccard, langid, maxscore, nndescent, packing, pii, toxicity
+from rewardmill.llm import chat, jaccard, langid, maxscore, nndescent, packing, pii, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -107,3 +107,14 @@ def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base kinds, and identifiers in learned contexts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.extract(docs, pii.learn_patterns(docs))
+
+
+@query
+def op7_columnar_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted and read back."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema
+    )
+    return chat.digests(chat.format_chats(given.union(extra)))
