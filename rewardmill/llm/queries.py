@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import chat, jaccard, langid, maxscore, nndescent, packing, pii, toxicity
+from rewardmill.llm import chat, jaccard, langid, maxscore, mixing, nndescent, packing, pii, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -118,3 +118,89 @@ def op7_columnar_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema
     )
     return chat.digests(chat.format_chats(given.union(extra)))
+
+
+MIX_DOMAINS = ("web", "books", "forum", "news")
+MIX_WEIGHTS = {
+    "domain": {"web": 40, "books": 30, "forum": 20, "news": 10},
+    "lang": {"en": 40, "fr": 25, "de": 20, "es": 15},
+}
+
+
+@query
+def op4_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen, and in which epochs, to meet domain, language and source weights."""
+    docs = table(spark, sf_dir, "documents")
+    levels = {
+        "domain": mixing.number_domain(F.col("source"), MIX_DOMAINS),
+        "lang": F.col("lang"),
+        "source": F.col("source"),
+    }
+    chosen = mixing.mix(docs, levels, MIX_WEIGHTS, budget_share=0.6, max_epochs=2, seed=17)
+    return chosen.select(
+        "doc_id", F.col("mix_epoch").alias("epoch"), F.col("mix_domain").alias("domain"),
+        F.col("mix_lang").alias("leaf_lang"), F.col("mix_source").alias("leaf_source"),
+        F.col("mix_tokens").alias("tokens"),
+    )
+
+
+def _split_sql(name: str, nodes: str, parent: str, level: str) -> str:
+    """One level of the hierarchical split, as SQL: children of ``nodes`` by ``parent``."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    order = f"OVER ({by} ORDER BY ratio NULLS LAST, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+{name}_a AS (
+  SELECT *, CASE WHEN w > 0 THEN CAST(cap AS DOUBLE) / CAST(w AS DOUBLE) END AS ratio FROM {nodes}),
+{name}_b AS (
+  SELECT *, coalesce(sum(cap) {order}, 0) AS cap_before,
+         sum(w) OVER ({by}) - coalesce(sum(w) {order}, 0) AS w_left FROM {name}_a),
+{name}_c AS (
+  SELECT *, w > 0 AND cap * w_left <= (above - cap_before) * w AS is_full FROM {name}_b),
+{name}_d AS (
+  SELECT *, coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({by}), 0) AS full_cap,
+         sum(w) OVER ({by}) - coalesce(sum(CASE WHEN is_full THEN w END) OVER ({by}), 0) AS rest_w
+  FROM {name}_c),
+{name} AS (
+  SELECT *, CASE WHEN is_full THEN cap
+                 WHEN w > 0 THEN greatest(0, w * (above - full_cap) // rest_w) ELSE 0 END AS budget
+  FROM {name}_d)"""
+
+
+ORACLES["op4_hierarchical_mixing"] = f"""
+WITH docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, doc_id,
+    CASE coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT), 0) % 4
+      WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'forum' ELSE 'news' END AS domain,
+    coalesce(lang, '(none)') AS leaf_lang, coalesce(source, '(none)') AS leaf_source,
+    CASE WHEN length(coalesce(text, '')) > 0
+      THEN length(text) - length(replace(text, ' ', '')) + 1 ELSE 0 END AS tokens
+  FROM documents),
+n1 AS (
+  SELECT domain, CAST(sum(tokens) * 2 AS HUGEINT) AS cap,
+    CAST(CASE domain WHEN 'web' THEN 40 WHEN 'books' THEN 30 WHEN 'forum' THEN 20 ELSE 10 END AS HUGEINT) AS w,
+    (SELECT CAST(floor(sum(tokens) * CAST(0.6 AS DOUBLE)) AS HUGEINT) FROM docs) AS above
+  FROM docs GROUP BY domain),{_split_sql("d1", "n1", "", "domain")},
+n2 AS (
+  SELECT c.domain, c.leaf_lang, c.cap, c.w, d1.budget AS above FROM (
+    SELECT domain, leaf_lang, CAST(sum(tokens) * 2 AS HUGEINT) AS cap,
+      CAST(CASE leaf_lang WHEN 'en' THEN 40 WHEN 'fr' THEN 25 WHEN 'de' THEN 20 WHEN 'es' THEN 15 ELSE 1 END AS HUGEINT) AS w
+    FROM docs GROUP BY domain, leaf_lang) c JOIN d1 ON c.domain = d1.domain),{_split_sql("d2", "n2", "domain", "leaf_lang")},
+n3 AS (
+  SELECT c.domain, c.leaf_lang, c.leaf_source, c.tokens, c.cap, c.w, d2.budget AS above FROM (
+    SELECT domain, leaf_lang, leaf_source, CAST(sum(tokens) AS HUGEINT) AS tokens,
+      CAST(sum(tokens) * 2 AS HUGEINT) AS cap, CAST(1 AS HUGEINT) AS w
+    FROM docs GROUP BY domain, leaf_lang, leaf_source) c
+  JOIN d2 ON c.domain = d2.domain AND c.leaf_lang = d2.leaf_lang),{_split_sql("d3", "n3", "domain, leaf_lang", "leaf_source")},
+plan AS (
+  SELECT domain, leaf_lang, leaf_source, budget // tokens AS epochs, budget % tokens AS rest
+  FROM d3 WHERE tokens > 0),
+keyed AS (
+  SELECT docs.*, plan.epochs, plan.rest, md5('17:' || CAST(plan.epochs AS VARCHAR) || ':' || id) AS k
+  FROM docs JOIN plan ON docs.domain = plan.domain AND docs.leaf_lang = plan.leaf_lang
+    AND docs.leaf_source = plan.leaf_source),
+placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, leaf_lang, leaf_source ORDER BY k) AS upto FROM keyed),
+times AS (SELECT *, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS n FROM placed)
+SELECT doc_id, CAST(e.epoch AS INTEGER) AS epoch, domain, leaf_lang, leaf_source, CAST(tokens AS BIGINT) AS tokens
+FROM times JOIN (SELECT unnest(range(0, 3)) AS epoch) e ON e.epoch < times.n
+"""
