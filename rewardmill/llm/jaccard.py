@@ -507,7 +507,13 @@ def components(
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one document of every component: the one of the smallest doc_id."""
-    found = components(docs, n, percent)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """``docs`` with one document of every component: the one of the smallest doc_id.
+
+    Rows without an id can't be told apart by one and stay; of rows equal in id and text
+    one stays.
+    """
+    found = materialise(components(docs, n, percent))
+    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti")
+    repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm import chat, jaccard, langid, maxscore, mixing, nndescent, packing, pii, toxicity
+from rewardmill.llm import chat, jaccard, langid, licenses, maxscore, mixing, nndescent, packing, pii, toxicity
 from rewardmill.llm.common import doc_bucket
 
 #: Where the public vocabularies are; a parameter of the environment, never copied here.
@@ -204,3 +204,36 @@ times AS (SELECT *, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS n FROM
 SELECT doc_id, CAST(e.epoch AS INTEGER) AS epoch, domain, leaf_lang, leaf_source, CAST(tokens AS BIGINT) AS tokens
 FROM times JOIN (SELECT unnest(range(0, 3)) AS epoch) e ON e.epoch < times.n
 """
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known license notices contained in each document."""
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn(
+        "containment", F.round("containment", 6)
+    )
+
+
+def _notice_rows() -> str:
+    rows = []
+    for name, text in sorted(licenses.NOTICES.items()):
+        for s in licenses.template_shingles(licenses.template_words(text), 5):
+            rows.append(f"('{name}', '{s}')")
+    return ", ".join(rows)
+
+
+ORACLES["op2_license_scan"] = f"""
+WITH template(license, shingle) AS (VALUES {_notice_rows()}),
+docs AS (
+  SELECT doc_id, ' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) || ' ' AS plain
+  FROM documents WHERE text IS NOT NULL),
+hits AS (
+  SELECT d.doc_id, t.license, count(*) AS matched
+  FROM docs d JOIN template t ON contains(d.plain, ' ' || t.shingle || ' ')
+  GROUP BY d.doc_id, t.license),
+sizes AS (SELECT license, count(*) AS shingles FROM template GROUP BY license)
+SELECT doc_id, h.license, CAST(matched AS INTEGER) AS matched, CAST(shingles AS INTEGER) AS shingles,
+       round(matched / CAST(shingles AS DOUBLE), 6) AS containment
+FROM hits h JOIN sizes s ON h.license = s.license
+WHERE matched >= 0.8 * shingles
+"""
