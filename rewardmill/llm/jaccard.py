@@ -12,14 +12,14 @@ one class; everything below runs on classes, so thousands of copies cost one.
    bucket; each bucket's inverted lists of two or more classes become *canopies*
    (pivot, members): every linked pair is inside some canopy. A heavy shingle's pivot is
    known beforehand, so its list never meets in one place.
-3. Inside a canopy the parity bitmaps (Hamming distance never exceeds the symmetric
-   difference, so nothing linked is lost) leave pairs with the pivot and pairs among
-   those that the pivot can't explain; large canopies are cut into blocks.
+3. Inside a canopy parity bitmaps (Hamming distance never exceeds the symmetric
+   difference, so nothing linked is lost) leave the pairs of its pivot and of its medoid
+   with the others, and all pairs of small canopies; large canopies are cut into blocks.
 4. Left pairs go to the T-occurrence search: a query's inverted lists over its block are
    divided; the short ones are merged into counts, the long ones only probed by binary
    search for documents that can still reach the required overlap (DivideSkip).
-5. Members whose component still differs from another's in a canopy are compared with
-   those too; components are contracted in Spark.
+5. Components are contracted in Spark; then all members of a canopy that are still in
+   different components are compared, by 3 and 4 again, and components contracted anew.
 
 So a group of near copies costs its size, not its square, and no link between different
 texts is lost.
@@ -46,6 +46,8 @@ HEAVY_IN_BATCH = 16
 HEAVY_TABLE = 200_000
 CANOPY_BLOCK = 1_000
 QUERY_BLOCK = 400
+SMALL_CANOPY = 6
+MEDOID_PROBES = 12
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -260,9 +262,27 @@ def may_link(a: tuple[int, int, int], b: tuple[int, int, int], percent: int) ->
     return apart <= a[0] + b[0] - 2 * least
 
 
+def medoid(info: dict[int, tuple[int, int, int]]) -> int:
+    """The set nearest to a spread of the others by parity distance: of near copies, mostly
+    the text they were made from, which links with all of them."""
+    names = sorted(info)
+    some = names[:: max(1, len(names) // MEDOID_PROBES)]
+
+    def apart(m):
+        size, cells, bits = info[m]
+        total = 0
+        for o in some:
+            to = min(cells, info[o][1])
+            total += (_fold(bits, cells, to) ^ _fold(info[o][2], info[o][1], to)).bit_count()
+        return (total, m)
+
+    return min(names, key=apart)
+
+
 def _left_pairs(canopies: DataFrame, classes: DataFrame, percent: int, second: bool) -> DataFrame:
-    """Pairs that a search must decide. First round: with the pivot, and among those that
-    can't link with it; second round: of members in different components (``component``)."""
+    """Pairs that a search must decide. First round: of the pivot and of the medoid with all
+    (in small canopies, of all with all); second round: of members in different components
+    (``component``) of larger canopies."""
     big = (
         canopies.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > CANOPY_BLOCK)
@@ -309,26 +329,21 @@ def _left_pairs(canopies: DataFrame, classes: DataFrame, percent: int, second: b
     def decide(key, rows):
         pivot, i, j = key
         info = {m: (size, 8 * len(bits), int.from_bytes(bits, "little")) for m, _, _, size, bits in rows}
-        if pivot not in info:
-            return
-        if not second:
-            flagged = set()
-            for m, block, _, _, _ in rows:
-                if m == pivot:
-                    continue
-                if may_link(info[pivot], info[m], percent):
-                    if i == j:
-                        yield (pivot, m)
-                else:
-                    flagged.add(m)
         rest = [(m, block, c) for m, block, c, _, _ in rows if m != pivot]
-        for x, (u, bu, cu) in enumerate(rest):
-            for y, by, cy in rest[x + 1 :]:
-                if i != j and bu == by:
+        small = len(info) <= SMALL_CANOPY
+        if not small and not second:
+            for hub in {pivot, medoid(info)} & info.keys():
+                for m in info:
+                    if m != hub and may_link(info[hub], info[m], percent):
+                        yield (hub, m)
+            return
+        everyone = rest if second else [(m, 0, None) for m in info]
+        for x, (u, bu, cu) in enumerate(everyone):
+            for y, by, cy in everyone[x + 1 :]:
+                if second and (cu == cy or i != j and bu == by):
                     continue
-                if (cu != cy) if second else (u in flagged or y in flagged):
-                    if may_link(info[u], info[y], percent):
-                        yield (u, y)
+                if may_link(info[u], info[y], percent):
+                    yield (u, y)
 
     def run(batches):
         key, rows, out = None, [], []
@@ -481,13 +496,10 @@ def components(
     named = canopies.union(canopies.select("pivot", F.col("pivot").alias("member")).distinct()).join(
         joined.withColumnRenamed("node", "member"), "member", "left"
     ).withColumn("component", F.coalesce("component", "member"))
-    # a canopy is settled once all members that the search left unlinked with the pivot are
-    # explained; only those with a failed search have pairs that nobody has looked at
-    failed = pairs.join(links, ["a", "b"], "left_anti")
+    # a canopy is settled once its members are in one component; small ones were compared whole
     open_pivots = (
-        canopies.join(failed, (F.col("pivot") == F.col("a")) & (F.col("member") == F.col("b")), "left_semi")
-        .union(canopies.join(failed, (F.col("pivot") == F.col("b")) & (F.col("member") == F.col("a")), "left_semi"))
-        .select("pivot").distinct()
+        named.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+        .filter((F.col("lo") != F.col("hi")) & (F.col("n") > SMALL_CANOPY)).select("pivot")
     )
     again = _left_pairs(
         named.join(open_pivots, "pivot", "left_semi"), classes, percent, second=True
