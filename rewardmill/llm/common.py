@@ -56,6 +56,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def slices(pdf, rows: int):
+    """Consecutive parts of a batch: bounds what a worker holds beside the batch itself."""
+    for at in range(0, len(pdf), rows):
+        yield pdf.iloc[at : at + rows]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -40,9 +40,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import connected_components, materialise, ship, shuffle_partitions
+from rewardmill.llm.common import connected_components, materialise, ship, shuffle_partitions, slices
 
-HEAVY_IN_BATCH = 16
+BATCH_DOCS = 2_000
+HEAVY_IN_BATCH = 8
 HEAVY_TABLE = 200_000
 CANOPY_BLOCK = 1_000
 QUERY_BLOCK = 400
@@ -123,7 +124,7 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
     """kind 0: (doc_id, size, k1, k2, bits) of documents; kind 1: heavy shingles of a batch."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole, BATCH_DOCS)):
             rows, seen = [], {}
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
                 tokens = shingle_set(text, n)
@@ -165,7 +166,7 @@ def _canopies(docs: DataFrame, n: int, percent: int, buckets: int, heavy: list)
     rank_h[np.lexsort((tokens_h, table[order, 1]))] = np.arange(len(order))
 
     def deal(batches):
-        for number, pdf in enumerate(batches):
+        for number, pdf in enumerate(part for whole in batches for part in slices(whole, 2 * BATCH_DOCS)):
             seen: set[int] = set()
             keys, toks, sizes, hp, hm = [], [], [], [], []
             for text in pdf["text"]:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import ship
+from rewardmill.llm.common import ship, slices
 
 _BLANK = 32
 _FOLD: dict[str, np.ndarray] = {}
@@ -84,12 +84,13 @@ def train_profiles(
     def count(batches):
         for pdf in batches:
             for lang, part in pdf.groupby("lang"):
-                pairs = [ngram_counts(t) for t in part["text"]]
-                if not pairs:
-                    continue
-                grams, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([c for _, c in pairs]), len(grams))
-                yield pd.DataFrame({"lang": lang, "gram": grams, "n": n.astype(np.int64)})
+                grams, n = np.empty(0, np.int64), np.empty(0, np.int64)
+                for some in slices(part, 200):
+                    pairs = [(grams, n), *(ngram_counts(t) for t in some["text"])]
+                    found, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
+                    n = np.bincount(where, np.concatenate([c for _, c in pairs]), len(found)).astype(np.int64)
+                    grams = found
+                yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
 
     counted = (
         docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))

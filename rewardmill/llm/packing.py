@@ -37,7 +37,7 @@ Plan = dict[tuple[int, ...], int]
 # ------------------------------------------------------------------ tokenising
 
 _ENCODERS: dict[str, dict] = {}
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 150_000
 
 #: The vocabulary's word pattern, for chunks of printable ASCII and Latin-1 letters only:
 #: there NFC changes nothing and lower-casing goes letter by letter.
