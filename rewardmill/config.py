@@ -35,3 +35,4 @@ class TrainConfig:
     binary_rewards: bool = False
     max_checkpoint_age: str = "0 seconds"
     seed: int = 17
+    max_json_depth: int = 12

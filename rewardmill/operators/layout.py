@@ -23,10 +23,10 @@ def split_levels(rows: DataFrame, keys: list[str], time: Column, max_rows: int =
     levels = None
     for k in PREFIXES:
         at = seconds.groupBy(*keys, f"p{k}").agg(F.sum("n").alias("n")).groupBy(*keys).agg(
-            F.lit(k).alias("k"), F.max("n").alias("largest"), F.sum("n").alias("n")
+            F.lit(k).alias("_k"), F.max("n").alias("_largest"), F.sum("n").alias("n")
         )
         levels = at if levels is None else levels.union(at)
-    fits = F.min(F.when(F.col("largest") <= max_rows, F.col("k")))
+    fits = F.min(F.when(F.col("_largest") <= max_rows, F.col("_k")))
     return levels.groupBy(*keys).agg(F.max("n").alias("n"), F.coalesce(fits, F.lit(15)).alias("_level")).select(
         *keys, "n", F.when(F.col("n") <= max_rows, 0).otherwise(F.col("_level")).alias("level")
     )

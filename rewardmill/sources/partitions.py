@@ -104,7 +104,7 @@ def write_partitions(rows: DataFrame, path: str, chunk: Column, mode: str = "app
         rows.withColumns({**parts, "_chunk": chunk})
         .repartition("model", "yyyy", "mm", "dd", "_chunk")
         .sortWithinPartitions("model", "yyyy", "mm", "dd", "decision_id")
-        .drop("_chunk")
+        .select("model", "yyyy", "mm", "dd", *schemas.COLUMNS)
         .write.option("compression", "zstd").mode(mode)
         .partitionBy("model", "yyyy", "mm", "dd").parquet(path)
     )

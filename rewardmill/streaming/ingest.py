@@ -20,7 +20,8 @@ def ingest(
     """
 
     def batch(df: DataFrame, number: int) -> None:
-        parsed = records.parse(df, now).persist()
+        numbered = df.withColumn("_seq", F.monotonically_increasing_id())
+        parsed = records.parse(numbered, now).persist()
         try:
             merged = merge.merge(records.to_rewarded_decisions(parsed), ["model", "decision_id"])
             merged.write.mode("overwrite").option("compression", "zstd").parquet(f"{table}/rows/batch={number}")
