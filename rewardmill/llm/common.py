@@ -62,6 +62,20 @@ def slices(pdf, rows: int):
         yield pdf.iloc[at : at + rows]
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: workers live on between
+    stages, and an executor's limit counts what their allocators keep."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

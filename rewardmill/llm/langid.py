@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import ship, slices
+from rewardmill.llm.common import give_back, ship, slices
 
 _BLANK = 32
 _FOLD: dict[str, np.ndarray] = {}
@@ -91,6 +91,7 @@ def train_profiles(
                     n = np.bincount(where, np.concatenate([c for _, c in pairs]), len(found)).astype(np.int64)
                     grams = found
                 yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
+        give_back()
 
     counted = (
         docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))

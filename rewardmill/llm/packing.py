@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import materialise, ship
+from rewardmill.llm.common import give_back, materialise, ship
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Plan = dict[tuple[int, ...], int]
@@ -124,6 +124,7 @@ def tokenised_pieces(
                     cut = ids[at : at + step]
                     rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
         run, PIECES
