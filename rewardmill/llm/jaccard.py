@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import connected_components, materialise, ship, shuffle_partitions, slices
+from rewardmill.llm.common import connected_components, give_back, materialise, ship, shuffle_partitions, slices
 
 BATCH_DOCS = 2_000
 HEAVY_IN_BATCH = 8
@@ -151,6 +151,7 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
             out = pd.DataFrame(rows, columns=["kind", "doc_id", "size", "k1", "k2", "bits"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        give_back()
 
     schema = "kind int, doc_id long, size long, k1 long, k2 long, bits binary"
     return docs.mapInPandas(run, schema)
@@ -214,6 +215,7 @@ def _canopies(docs: DataFrame, n: int, percent: int, buckets: int, heavy: list)
                 out.append((number % buckets, b"", b"", b"", np.array(hp, np.int64).tobytes(),
                             np.array(hm, np.int64).tobytes()))
             yield pd.DataFrame(out, columns=["bucket", "tok", "idx", "cls", "hp", "hm"])
+        give_back()
 
     def lists(pdf: pd.DataFrame) -> pd.DataFrame:
         toks, keys = [], []
@@ -284,14 +286,10 @@ def _left_pairs(canopies: DataFrame, classes: DataFrame, percent: int, second: b
     """Pairs that a search must decide. First round: of the pivot and of the medoid with all
     (in small canopies, of all with all); second round: of members in different components
     (``component``) of larger canopies."""
-    big = (
-        canopies.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > CANOPY_BLOCK)
-        .select("pivot", F.ceil(F.col("_n") / CANOPY_BLOCK).cast("int").alias("_blocks"))
-    )
-    rows = canopies.join(big, "pivot", "left").withColumn(
-        "_blocks", F.coalesce("_blocks", F.lit(1))
+    sizes = canopies.groupBy("pivot").agg(
+        F.ceil(F.count(F.lit(1)) / CANOPY_BLOCK).cast("int").alias("_blocks")
     )
+    rows = canopies.join(sizes, "pivot")
     own = F.pmod(F.xxhash64("member"), F.col("_blocks")).cast("int")
     pairs_of_blocks = F.explode(
         F.transform(
@@ -361,6 +359,7 @@ def _left_pairs(canopies: DataFrame, classes: DataFrame, percent: int, second: b
         if len(rows) > 1:
             out += decide(key, rows)
         yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+        give_back()
 
     found = dealt.mapInPandas(run, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -459,6 +458,7 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
                     members.append(tokens)
         flush()
         yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+        give_back()
 
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
