@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,11 +122,12 @@ def scan(
         F.transform("shingles", lambda s: F.xxhash64(s)).alias("hashes"),
     )
 
-    clue = F.lower(F.col(text_col))
     telling = telling_words([s for v in shingles.values() for s in v])
-    possible = F.lit(False)
-    for w in telling:
-        possible = possible | F.contains(clue, F.lit(w))
+    # inside one lambda, so that a text is lower-cased once and not once a word
+    possible = F.exists(
+        F.array(F.lower(F.col(text_col))),
+        lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in telling]),
+    )
     base = docs.filter(possible).select(F.col(id_col).alias("doc_id"), text_words(F.col(text_col)).alias("words"))
     base = materialise(base.withColumn("_row", F.monotonically_increasing_id()))
 
