@@ -11,8 +11,8 @@ shingles that the document contains must reach ``least``.
 
 Most windows can't collide with any template, and two exact cuts leave them out early:
 a window whose shingles are none of the templates' has no signature row equal to one of
-theirs, and a text that lacks a chosen word of every template shingle has no such
-shingle. Both cuts come from the templates alone and lose nothing.
+theirs, and a text that lacks a chosen word (or, of shingles of short words only, the
+words in a row) of every template shingle has no such shingle. Both cuts come from the templates alone and lose nothing.
 
 Templates are a bounded table: at most ``MAX_TEMPLATES``, checked. Defined results: null
 or empty texts match nothing; a template of fewer than ``n`` words is one shingle of all
@@ -65,16 +65,21 @@ def window_size(words: int) -> int:
 
 
 def telling_words(shingles: list[str]) -> list[str]:
-    """Words such that every shingle holds one: the commonest long words first."""
-    left, out = [set(s.split()) for s in shingles], []
+    """Words of six letters or more such that every shingle that has one holds one of these."""
+    left, out = [w for s in shingles if (w := {x for x in s.split() if len(x) >= 6})], []
     while left:
         seen = Counter(w for s in left for w in s)
-        best = max(seen, key=lambda w: (len(w) >= 6, seen[w] * len(w), w))
+        best = max(seen, key=lambda w: (seen[w] * len(w), w))
         out.append(best)
         left = [s for s in left if best not in s]
     return sorted(out)
 
 
+def short_patterns(shingles: list[str]) -> list[str]:
+    """Patterns of the shingles that have no such word: all their words, in lower-case text."""
+    return sorted({"[^a-z0-9]+".join(s.split()) for s in shingles if all(len(w) < 6 for w in s.split())})
+
+
 def text_words(text: Column) -> Column:
     """Lower-case ASCII words of a text."""
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
@@ -122,11 +127,14 @@ def scan(
         F.transform("shingles", lambda s: F.xxhash64(s)).alias("hashes"),
     )
 
-    telling = telling_words([s for v in shingles.values() for s in v])
+    every = [s for v in shingles.values() for s in v]
+    words_, patterns = telling_words(every), short_patterns(every)
     # inside one lambda, so that a text is lower-cased once and not once a word
     possible = F.exists(
         F.array(F.lower(F.col(text_col))),
-        lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in telling]),
+        lambda t: reduce(
+            or_, [F.contains(t, F.lit(w)) for w in words_] + [F.rlike(t, F.lit(p)) for p in patterns]
+        ),
     )
     base = docs.filter(possible).select(F.col(id_col).alias("doc_id"), text_words(F.col(text_col)).alias("words"))
     base = materialise(base.withColumn("_row", F.monotonically_increasing_id()))
@@ -140,7 +148,7 @@ def scan(
         # positions of template shingles: the only ones that can make a band collide
         hits = F.filter(starts, _is_known(own, span))
         sizes = sorted({size for _, size, s, _ in rows if s == span})
-        part = base.withColumn("_hits", hits).filter(F.size("_hits") > 0)
+        part = materialise(base.withColumn("_hits", hits).filter(F.size("_hits") > 0))
         for size in sizes:
             step = size // 4
             around = F.array_distinct(
