@@ -163,18 +163,19 @@ def scan(
                 _hashed(span),
             )
             sketch = windows.withColumn("_window", window).select(
-                "doc_id", "_row", "words", _signature(hashed, bands).alias("_sig")
+                "doc_id", "_row", _signature(hashed, bands).alias("_sig")
             )
-            rowwise = sketch.select("doc_id", "_row", "words", F.posexplode("_sig").alias("band", "value"))
+            rowwise = sketch.select("doc_id", "_row", F.posexplode("_sig").alias("band", "value"))
             marks = signed.filter((F.col("size") == size) & (F.col("span") == span)).select(
                 "license", "shingles", F.posexplode(_signature(F.col("hashes"), bands)).alias("band", "value")
             )
             # at most MAX_TEMPLATES * bands rows
-            found.append(rowwise.join(F.broadcast(marks), ["band", "value"]).select("doc_id", "_row", "license", "shingles", "words", F.lit(span).alias("span")))
+            found.append(rowwise.join(F.broadcast(marks), ["band", "value"]).select("doc_id", "_row", "license", "shingles", F.lit(span).alias("span")))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    pairs = pairs.dropDuplicates(["_row", "doc_id", "license"])
+    # texts' words meet the few retrieved pairs only now: bands carry ids alone
+    pairs = pairs.dropDuplicates(["_row", "license"]).join(base.select("_row", "words"), "_row")
     all_shingles = F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("span") + 1)),
         lambda p: F.array_join(F.slice("words", p, F.col("span")), " "),
