@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -43,6 +44,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``materialise``d table that nothing reads any more, and let
+    Spark clean up the shuffle files of the jobs before it."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("rewardmill-"):
+            path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on executors when they don't share the driver's path."""
     sc = spark.sparkContext

@@ -209,6 +209,18 @@ def test_nn_descent_recall(spark):
     assert 9020 not in got and nndescent.nearest(df.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_nn_search_goes_on_until_no_beam_is_fresh(spark, monkeypatch):
+    n = 30  # a chain whose best nodes are at its far end, many rounds from the query
+    df = spark.createDataFrame([(i, [float(i + 1)]) for i in range(n)], "vec_id long, embedding array<float>")
+    chain = [(0, i, np.float32(i + 1).tobytes(), np.array([j for j in (i - 1, i + 1) if 0 <= j < n]).tobytes()) for i in range(n)]
+    state = spark.createDataFrame(chain, "block int, id long, vec binary, nbr binary")
+    monkeypatch.setattr(nndescent, "build_graph", lambda *a: state)
+    got = nndescent.nearest(df, F.col("vec_id") == 0, k=3, degree=2, beam=4).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [29, 28, 27]
+    assert nndescent.beam_for(2_000, 20) == 160 < nndescent.beam_for(180_000, 20) < nndescent.beam_for(10**6, 20)
+    assert nndescent.tables_for(2_000) == 8 < nndescent.tables_for(180_000)
+
+
 def test_license_scan(spark, docs):
     long = "filler " * 300
     rows = [(0, f"{long} Released under the MIT License. {long}"), (1, "released UNDER the mit\nlicense"), (2, "Released under the license"), (3, None), (4, ""),
