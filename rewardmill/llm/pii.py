@@ -39,6 +39,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _IDENTIFIER = re.compile(r"(?=[^\s]*[0-9@])[\w@.+-]{5,}")
 _DIGITS = re.compile(r"[0-9]")
+#: A place inside a token where an identifier may begin.
+_INSIDE = re.compile(r"[^\w\s@.+-](?=[\w@.+-])")
+_OPENING = "\"'([{<"
 
 
 def luhn(digits: str) -> bool:
@@ -85,13 +88,28 @@ def patterns_before(text: str, start: int) -> list[str]:
     Tokens are lower-cased, digits become 0, so that a pattern names a context, not a value.
     """
     begin = max(text.rfind("\n", 0, start), start - 80) + 1
-    left = text[begin:start].lower().rstrip("\"'([{<").split()
+    left = text[begin:start].lower().rstrip(_OPENING).split()
     left = [_DIGITS.sub("0", t) for t in left[-2:]]
     if len(left) == 2:
         return [left[1], " ".join(left)]
     return left
 
 
+def contexts(line: str) -> list[tuple[str, str]]:
+    """(one-token, two-token) patterns of all positions of a lower-case line where something
+    may follow: behind every token and, as in key=value, inside it ("" for none)."""
+    if _DIGITS.search(line):
+        line = _DIGITS.sub("0", line)
+    words, out = line.split(), []
+    inside = _INSIDE.search(line) is not None
+    for k, w in enumerate(words):
+        heads = [w]
+        if inside and not w.isalnum():
+            heads += [h for m in _INSIDE.finditer(w) if (h := w[: m.end()].rstrip(_OPENING))]
+        out += [(h, f"{words[k - 1]} {h}" if k else "") for h in heads]
+    return out
+
+
 def identifiers(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans of identifier-like tokens that don't overlap ``taken``."""
     if not _DIGITS.search(text) and "@" not in text:
@@ -147,13 +165,11 @@ def _totals(docs: DataFrame, patterns: list[str], text_col: str) -> DataFrame:
             n: dict[str, int] = {}
             for text in pdf["text"]:
                 for line in (text or "").lower().split("\n"):
-                    if _DIGITS.search(line):
-                        line = _DIGITS.sub("0", line)
-                    words = line.split()
-                    for k in [k for k, w in enumerate(words) if w in last]:
-                        for p in (words[k], f"{words[k - 1]} {words[k]}" if k else ""):
-                            if p in wanted:
-                                n[p] = n.get(p, 0) + 1
+                    for one, two in contexts(line):
+                        if one in last:
+                            for p in (one, two):
+                                if p in wanted:
+                                    n[p] = n.get(p, 0) + 1
             yield pd.DataFrame(list(n.items()), columns=["pattern", "total"])
 
     return (
@@ -176,7 +192,7 @@ def learn_patterns(
     edges = materialise(_occurrences(docs, text_col))
     named = F.lit(False)
     for w in seed_words:
-        named = named | F.col("pattern").rlike(rf"(^|[\s\"'])({w})s?\W*( ?[=:]+)?$")
+        named = named | F.col("pattern").rlike(rf"(^|[\s\"'_-])({w})s?\W*( ?[=:]+)?$")
     edges = edges.withColumn("start", F.when(named | (F.col("seed") == 1), 1.0).otherwise(0.0))
     worth = edges.groupBy("instance").agg(F.max("start").alias("worth"), F.max("start").alias("start"))
     common = [
@@ -193,9 +209,9 @@ def learn_patterns(
         scored = materialise(
             edges.join(worth.select("instance", "worth"), "instance").groupBy("pattern").agg(
                 F.sum(F.col("worth") * F.col("n")).alias("mass"),
-                F.count(F.lit(1)).alias("instances"),
-            ).join(totals, "pattern")
-            .select("pattern", "instances", (F.col("mass") / (F.greatest("total", "mass") + F.lit(prior))).alias("score"))
+                F.sum("n").alias("seen"), F.count(F.lit(1)).alias("instances"),
+            ).filter(F.col("instances") >= least_instances).join(totals, "pattern", "left")
+            .select("pattern", "instances", (F.col("mass") / (F.greatest("total", "seen") + F.lit(prior))).alias("score"))
         )
         worth = materialise(
             edges.join(scored.select("pattern", "score"), "pattern", "left").groupBy("instance").agg(

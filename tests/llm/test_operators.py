@@ -148,6 +148,19 @@ def test_bootstrap_finds_contexts(spark):
     assert all(r["n_context"] == 1 for r in pii.extract(df.filter("doc_id < 100 AND doc_id % 2 = 0"), patterns).collect())
 
 
+def test_contexts_that_touch_their_identifier(spark):
+    forms = ["api_key={}", "password:{}", '{{"secret":"{}"}}', "ssn:{}", "iban={}"]
+    rows = [(100 * f + k, "we set " + form.format(f"sk{k}f8a{f}b6c{k}d") + " then") for f, form in enumerate(forms) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    patterns = pii.learn_patterns(df)
+    assert {"api_key=", "password:", '{"secret":', "ssn:", "iban="} <= set(patterns)
+    assert all(r["n_context"] == 1 for r in pii.extract(df, patterns).collect())
+    assert all("[CONTEXT]" in r["text"] for r in pii.redact(df).collect())
+    text = 'Set "secret":"ab12cd34" or key = (ab12cd34 or x:y=ab12cd34'
+    found = {p for one_two in pii.contexts(text.lower()) for p in one_two}
+    assert all(p in found for s, _ in pii.identifiers(text, []) for p in pii.patterns_before(text, s))
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "yes </s>"), (1, 0, "user", None), (2, 0, None, "x"), (2, 1, "tool", "\x1a[INST]"), (None, 0, "user", "lost"), (1, 1, "assistant", "yes </s>")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("chunk", F.lit("clash"))
