@@ -10,8 +10,9 @@ mixed with digits, an @, or a long run of digits) can be instances. Patterns of
 confidence and support extract every identifier-like token behind them, as spans of
 kind ``context``; base spans always stay, and a span that overlaps one is not added.
 
-Pattern and instance statistics are pre-aggregated counts over all documents. The
-accepted patterns, at most ``max_patterns``, are the only rows the driver sees.
+Pattern and instance statistics are pre-aggregated counts over all documents, kept as
+tables joined by pattern. The driver sees hashes of the candidates, and all accepted
+patterns, which go to every worker; neither is cut.
 
 Defined results: null text is empty and has no spans; repeated rows are searched each;
 an empty table gives an empty result; extra columns are kept by ``redact``.
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,32 +158,56 @@ def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def _totals(docs: DataFrame, patterns: list[str], text_col: str) -> DataFrame:
-    """(pattern, total): how often each pattern stands in the whole corpus, whatever follows."""
-    wanted = set(patterns)
-    last = {p.rpartition(" ")[2] for p in wanted}
+def _filter(candidates: DataFrame, n: int) -> np.ndarray:
+    """Bitmap of the candidates' hashes, some 32 bits for each: what misses it is none."""
+    bits = 1 << min(31, max(16, (32 * n).bit_length()))
+    at = candidates.select(
+        F.pmod(F.crc32(F.col("pattern").cast("binary")), F.lit(bits)).alias("at")
+    ).distinct().toPandas()["at"].to_numpy(np.int64)
+    bitmap = np.zeros(bits >> 3, np.uint8)
+    np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return bitmap
+
+
+def _totals(docs: DataFrame, candidates: DataFrame, n: int, text_col: str) -> DataFrame:
+    """(pattern, total) of all ``n`` candidates: how often each stands in the whole corpus,
+    whatever follows; null where it was never read.
+
+    Workers count what passes a bitmap of hashes; the join leaves the candidates themselves.
+    A two-token candidate's last token is a candidate too: all its instances stand behind it.
+    """
+    bitmap = _filter(candidates, n).tobytes()
+    mask = 8 * len(bitmap) - 1
+
+    def maybe(p: str) -> bool:
+        at = zlib.crc32(p.encode("utf-8", "surrogatepass")) & mask
+        return bool(bitmap[at >> 3] >> (at & 7) & 1)
 
     def run(batches):
         for pdf in batches:
             n: dict[str, int] = {}
+            known: dict[str, bool] = {}
             for text in pdf["text"]:
                 for line in (text or "").lower().split("\n"):
                     for one, two in contexts(line):
-                        if one in last:
-                            for p in (one, two):
-                                if p in wanted:
-                                    n[p] = n.get(p, 0) + 1
+                        if (hit := known.get(one)) is None:
+                            hit = known[one] = maybe(one)
+                        if hit:
+                            n[one] = n.get(one, 0) + 1
+                            if two and (two in n or maybe(two)):
+                                n[two] = n.get(two, 0) + 1
             yield pd.DataFrame(list(n.items()), columns=["pattern", "total"])
 
-    return (
+    counted = (
         docs.select(F.col(text_col).alias("text")).mapInPandas(run, "pattern string, total long")
         .groupBy("pattern").agg(F.sum("total").alias("total"))
     )
+    return candidates.join(counted, "pattern", "left")
 
 
 def learn_patterns(
     docs: DataFrame, rounds: int = 3, least_instances: int = 5, least_score: float = 0.55,
-    prior: float = 4.0, max_patterns: int = 2_000, max_candidates: int = 20_000, seed_words: tuple[str, ...] = ("token", "password", "secret", "key", "ssn", "passport", "iban"),
+    prior: float = 4.0, seed_words: tuple[str, ...] = ("token", "password", "secret", "key", "ssn", "passport", "iban"),
     text_col: str = "text",
 ) -> dict[str, float]:
     """Accepted patterns and their scores, after ``rounds`` over the pattern-instance graph.
@@ -195,22 +222,21 @@ def learn_patterns(
         named = named | F.col("pattern").rlike(rf"(^|[\s\"'_-])({w})s?\W*( ?[=:]+)?$")
     edges = edges.withColumn("start", F.when(named | (F.col("seed") == 1), 1.0).otherwise(0.0))
     worth = edges.groupBy("instance").agg(F.max("start").alias("worth"), F.max("start").alias("start"))
-    common = [
-        r["pattern"] for r in edges.groupBy("pattern")
-        .agg(F.count(F.lit(1)).alias("instances"), F.max("start").alias("start"))
-        .filter(F.col("instances") >= least_instances)
-        .orderBy(F.desc("start"), F.desc("instances"), "pattern").limit(max_candidates).collect()
-    ]
-    if not common:
+    candidates = materialise(
+        edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
+        .filter(F.col("instances") >= least_instances).select("pattern")
+    )
+    n = candidates.count()
+    if not n:
         return {}
-    totals = materialise(_totals(docs, common, text_col))
+    totals = materialise(_totals(docs, candidates, n, text_col))
     scored = None
     for _ in range(rounds):
         scored = materialise(
             edges.join(worth.select("instance", "worth"), "instance").groupBy("pattern").agg(
                 F.sum(F.col("worth") * F.col("n")).alias("mass"),
                 F.sum("n").alias("seen"), F.count(F.lit(1)).alias("instances"),
-            ).filter(F.col("instances") >= least_instances).join(totals, "pattern", "left")
+            ).join(totals, "pattern")
             .select("pattern", "instances", (F.col("mass") / (F.greatest("total", "seen") + F.lit(prior))).alias("score"))
         )
         worth = materialise(
@@ -224,7 +250,7 @@ def learn_patterns(
     rows = (
         scored.filter((F.col("instances") >= least_instances) & (F.col("score") >= least_score))
         .join(unseen, "pattern", "left_semi")
-        .orderBy(F.desc("score"), F.desc("instances"), "pattern").limit(max_patterns)
+        .orderBy(F.desc("score"), F.desc("instances"), "pattern")
         .collect()
     )
     return {r["pattern"]: r["score"] for r in rows}

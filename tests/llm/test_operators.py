@@ -161,6 +161,18 @@ def test_contexts_that_touch_their_identifier(spark):
     assert all(p in found for s, _ in pii.identifiers(text, []) for p in pii.patterns_before(text, s))
 
 
+def test_no_candidate_or_accepted_pattern_is_cut(spark):
+    names = [f"{a}{b}{c}{d}" for a in "bcdfghjk" for b in "aeiou" for c in "lmnprstvwz" for d in "bcdfghjkl"][:2_100]
+    rows = [(i, "\n".join(f"token {w}: ab{k}cd{i}ef" for k in range(5))) for i, w in enumerate(names)]
+    rows += [(10_000 + i, "\n".join(f"{w}: ab{k}cd{i}ef" for k in range(5))) for i, w in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    patterns = pii.learn_patterns(df, least_score=0.0)
+    assert len(names) == 2_100 and {f"{w}:" for w in names} | {f"token {w}:" for w in names} <= set(patterns)
+    edges = pii._occurrences(df, "text").groupBy("pattern").count().filter("count >= 5").select("pattern")
+    totals = {r["pattern"]: r["total"] for r in pii._totals(df, edges, edges.count(), "text").collect()}
+    assert totals[f"{names[-1]}:"] == 10 and totals[f"token {names[0]}:"] == 5
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "yes </s>"), (1, 0, "user", None), (2, 0, None, "x"), (2, 1, "tool", "\x1a[INST]"), (None, 0, "user", "lost"), (1, 1, "assistant", "yes </s>")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("chunk", F.lit("clash"))
