@@ -9,17 +9,21 @@ probed, most promising first, only for documents whose partial score plus remain
 bounds is still competitive. Shards' top k are merged by score, ties to the smaller id.
 
 Queries meet every shard in blocks, so no task holds more than one shard of candidates
-and one block of queries; scores are exact 64-bit integers.
+and one block of queries; scores are exact 64-bit integers. Pairs whose score could leave
+64 bits on the way are scored one by one in Python integers.
 
 Defined results: rows with a null id, a null vector, a null or non-finite component, or
-another length than the query take no part; components whose floor(64 x) exceeds 2^26
-in absolute value are outside the operator's range and take no part either; repeated
-ids are candidates each on their own, and a query skips every row of its own id; fewer
-than k candidates: all of them; an empty table gives an empty result.
+another length than the query take no part; a floor(64 x) or a score among the k best
+that doesn't fit 64 bits is an error; repeated ids are candidates each on their own, and
+a query skips every row of its own id; fewer than k candidates: all of them; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -35,12 +39,13 @@ PROBE_STEP = 8
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) -> DataFrame:
     """(id, terms): floor(scale * x) of every component in double precision."""
     x = F.transform(F.col(vector_col), lambda v: v.cast("double"))
-    limit = float(1 << 26)
-    usable = F.forall(x, lambda v: F.coalesce(F.abs(v * scale) < limit, F.lit(False)))
+    usable = F.forall(x, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
+    fits = lambda v: F.abs(v * scale) < float(1 << 63)
+    too_large = F.raise_error(F.lit("maxscore: a component's term doesn't fit 64 bits")).cast("long")
     return (
         vectors.select(F.col(id_col).alias("id"), x.alias("x"))
         .filter(F.col("id").isNotNull() & F.col("x").isNotNull() & usable)
-        .select("id", F.transform("x", lambda v: F.floor(v * scale).cast("int")).alias("terms"))
+        .select("id", F.transform("x", lambda v: F.when(fits(v), F.floor(v * scale)).otherwise(too_large)).alias("terms"))
     )
 
 
@@ -93,6 +98,22 @@ class Shard:
         return int(np.partition(full, len(full) - k)[len(full) - k])
 
 
+def narrow(terms: np.ndarray) -> np.ndarray:
+    """Which rows' scores among each other, and all partial sums, stay within 62 bits."""
+    limit = math.isqrt((1 << 62) // max(1, terms.shape[1]))
+    return (np.abs(terms) <= limit).all(axis=1)
+
+
+def exact_top(ids: np.ndarray, terms: np.ndarray, own: int, query: np.ndarray, k: int) -> tuple[list, list]:
+    """``Shard.top`` in Python integers, whatever their size."""
+    q = query.tolist()
+    best = heapq.nsmallest(k, ((-sum(a * b for a, b in zip(q, row)), i)
+                               for i, row in zip(ids.tolist(), terms.tolist()) if i != own))
+    if any(not -(1 << 63) <= -s < 1 << 63 for s, _ in best):
+        raise OverflowError(f"maxscore: a score of query {own} doesn't fit 64 bits")
+    return [i for _, i in best], [-s for s, _ in best]
+
+
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     vector_col: str = "embedding", scale: int = 64,
@@ -113,15 +134,25 @@ def top_k(
 
     def search(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         out = []
-        by_size: dict[int, Shard] = {}
+        by_size: dict[int, tuple] = {}
         lengths = own["terms"].map(len)
         for size, part in own.groupby(lengths):
-            by_size[size] = Shard(part["id"].to_numpy(np.int64), np.stack(part["terms"].to_numpy()))
-        for q, terms in zip(ask["id"], ask["terms"]):
-            shard = by_size.get(len(terms))
-            if shard is not None:
-                ids, scores = shard.top(q, np.asarray(terms), k)
-                out.append(pd.DataFrame({"query_id": q, "id": ids, "score": scores}))
+            ids, terms = part["id"].to_numpy(np.int64), np.stack(part["terms"].to_numpy()).astype(np.int64)
+            by_size[size] = (Shard(ids[fine], terms[fine]) if (fine := narrow(terms)).any() else None, ids, terms, fine)
+        for q, query in zip(ask["id"], ask["terms"]):
+            if len(query) not in by_size:
+                continue
+            shard, ids, terms, fine = by_size[len(query)]
+            query = np.asarray(query, np.int64)
+            parts = []
+            if not narrow(query[None, :])[0]:
+                parts.append(exact_top(ids, terms, q, query, k))
+            else:
+                if shard is not None:
+                    parts.append(shard.top(q, query, k))
+                if not fine.all():
+                    parts.append(exact_top(ids[~fine], terms[~fine], q, query, k))
+            out += [pd.DataFrame({"query_id": q, "id": i, "score": s}, dtype=np.int64) for i, s in parts]
         if not out:
             return pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype=np.int64)
         return pd.concat(out)

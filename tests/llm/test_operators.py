@@ -216,6 +216,29 @@ def test_maxscore_is_exact(spark):
     assert maxscore.top_k(df.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_maxscore_keeps_large_components(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(60)]
+    rows += [(100 + i, [float(x) for x in rng.standard_normal(4) * 2.0 ** e]) for i, e in enumerate((19, 20, 21, 22, 24, 24))]
+    rows += [(200, [2.0**45, 1.0, -1.0, 0.0]), (201, [-1.0, 2.0**20, 0.5, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    expected = []
+    for i in (0, 20, 100, 105, 201):
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:5]
+        expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best) if -s < 2**63]
+    ask = F.col("vec_id").isin(0, 20, 201)
+    got = maxscore.top_k(df, ask, k=5).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(e for e in expected if e[0] in (0, 20, 201))
+    less = df.filter("vec_id != 200")
+    for i, r in {100: 5, 105: 5}.items():
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j not in (i, 200))[:r]
+        found = maxscore.top_k(less, F.col("vec_id") == i, k=r).orderBy("rank").collect()
+        assert [(-x["score"], x["vec_id"]) for x in found] == best
+    with pytest.raises(Exception, match="64 bits"):
+        maxscore.top_k(df.union(df.filter("vec_id = 200").withColumn("vec_id", F.lit(300).cast("long"))), F.col("vec_id") == 200).collect()
+
+
 def test_nn_descent_recall(spark):
     rows, df = vectors(spark)
     x = np.array([v for _, v in rows])
