@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +58,9 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
     ``sources`` maps a column to the prefix of its features. Objects and arrays become
     dotted paths; nulls and empty containers vanish; booleans are numbers; a scalar at
     the root has the bare prefix. Of a path met twice (a key that holds dots), the last
-    in key order stays. Every level is one lateral explode; rows that are done leave.
+    in key order stays. Every level is one lateral explode; rows that are done leave. After
+    each ``max_depth`` levels it is looked whether rows are still open; they are checkpointed
+    and go on, so every leaf is found however deep it is.
     """
     parts = [
         df.select(*keys, F.lit(prefix).alias("feature"), F.try_parse_json(F.col(c)).alias("v"))
@@ -65,8 +69,8 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
     open_rows = parts[0]
     for p in parts[1:]:
         open_rows = open_rows.unionByName(p)
-    done = None
-    for depth in range(max_depth + 1):
+    done, depth = None, 0
+    while True:
         kind = F.schema_of_variant("v")
         nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
         text = F.try_variant_get("v", "$", "string")
@@ -77,10 +81,14 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
             *keys, "feature", number_.alias("num"), F.when(kind == "STRING", text).alias("str"), F.lit(depth).alias("_depth")
         )
         done = leaves if done is None else done.unionByName(leaves)
-        if depth == max_depth:
-            break
+        nested_rows = open_rows.filter(nested)
+        if depth % max(1, max_depth) == 0 and depth >= max_depth:
+            if nested_rows.isEmpty():
+                break
+            nested_rows = _checkpointed(nested_rows)
+        depth += 1
         name = "_f"
-        exploded = open_rows.filter(nested).withColumnRenamed("feature", name).lateralJoin(
+        exploded = nested_rows.withColumnRenamed("feature", name).lateralJoin(
             _explode_variant(open_rows.sparkSession)
         )
         open_rows = exploded.select(
@@ -91,5 +99,12 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
     )
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rewardmill-"))
+    return df.checkpoint()
+
+
 def _explode_variant(spark):
     return spark.tvf.variant_explode_outer(F.col("v").outer())

@@ -130,6 +130,14 @@ def test_flatten_agrees_with_a_walk(spark, value):
     assert got == dict(walk(value, "item"))
 
 
+def test_flatten_has_no_deepest_level(spark):
+    deep = lambda n, leaf: '{"a":' * n + leaf + "}" * n
+    df = spark.createDataFrame([(1, deep(15, "7")), (2, deep(5, '["x"]')), (3, "[[]]")], "id long, item string")
+    want = [(1, "item" + ".a" * 15, 7.0, None), (2, "item" + ".a" * 5 + ".0", None, "x")]
+    for depth in (2, 12):
+        assert sorted(map(tuple, json.flatten(df, {"item": "item"}, ["id"], depth).collect())) == want
+
+
 def test_models_learn_and_load(spark, tmp_path):
     rows = spark.range(400).select(
         F.col("id").alias("decision_id"), (F.col("id") % 2).cast("double").alias("y"), F.lit(1.0).alias("w"),
