@@ -90,6 +90,16 @@ def give_back() -> None:
         pass  # not glibc
 
 
+#: Rows up to which a table of ids, hashes and short names is sent to every executor.
+SMALL_ROWS = 500_000
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to have at most ``SMALL_ROWS`` rows; else
+    as it is, for a shuffled join (which adaptive execution splits where it is skewed)."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -99,12 +109,13 @@ def doc_bucket(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected edge list (u, v); component = smallest node.
 
     Alternating large-star and small-star contraction. All state stays in Spark tables:
     every round is two aggregations that combine before the shuffle and two equi-joins,
     checkpointed in the shared folder, so neither a hub nor a long chain gathers anywhere.
+    It goes on until a round changes nothing.
     """
     shared_dir(edges.sparkSession)
     e = (
@@ -114,9 +125,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .checkpoint()
     )
     mark = _fingerprint(e)
-    for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
+    while mark[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
@@ -132,8 +141,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == mark:
             break
         mark = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     member = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     root = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return member.union(root)

@@ -1,51 +1,51 @@
 """License scan in DataFrame operations: MinHash bands retrieve templates, containment verifies.
 
-Texts and templates are reduced to lower-case words of ASCII letters and digits, and
-words to ``n``-word shingles. A template of m words belongs to the smallest window size
-W = 8, 16, 32, ... with m <= 3/4 W; windows of that size start every W/4 words, so one of
-them holds an intact template whole, and its Jaccard similarity with the template is at
-least about 1/4. Signatures have ``bands`` bands of one row: a window at similarity 1/4
-is retrieved with probability 1 - (3/4)^bands (0.99999 for 40), at 1/5 with 0.9999.
-What the bands retrieve is decided exactly: the share of the template's distinct
-shingles that the document contains must reach ``least``.
-
-Most windows can't collide with any template, and two exact cuts leave them out early:
-a window whose shingles are none of the templates' has no signature row equal to one of
-theirs, and a text that lacks a chosen word (or, of shingles of short words only, the
-words in a row) of every template shingle has no such shingle. Both cuts come from the templates alone and lose nothing.
-
-Templates are a bounded table: at most ``MAX_TEMPLATES``, checked. Defined results: null
-or empty texts match nothing; a template of fewer than ``n`` words is one shingle of all
-its words, found as those words in a row; a template without words is refused; equal
-rows match alike; an empty table gives an empty result; extra columns are ignored.
+Texts and templates are reduced to lower-case words of ASCII letters and digits, words to
+64-bit hashes, and these to hashes of ``n``-word shingles. A text is covered by overlapping
+windows: for sizes W = 8, 16, 32 a window of W shingles starts every W/2, so that a run of
+at most W/2 + 1 shingles lies in one of them whole. A template's shingles are cut into
+*segments* of at most 17; a segment belongs to the smallest size that holds it, and one of
+a single shingle to W = 1, whose windows are all shingles.
+
+Every window is sketched by ``bands`` MinHash bands of one row each, and so is every
+segment; windows retrieve templates by an equi-join of band values. Nothing is looked up
+before that, no text is left out. A segment of m shingles that stands unaltered in a window
+has Jaccard similarity m / W >= 1/4 with it (m = 2 and W = 8 is the least) and is missed
+with probability at most (3/4)^bands: 4.2e-5 for 35; at W = 1 it is never missed. Where only
+the share ``least`` = 0.8 of a run of shingles is left, similarity is at least 0.2 and the
+miss 4.1e-4; a template of several segments is missed only if all of them are.
+
+What the bands retrieve is decided exactly: the share of the template's distinct shingles
+that the whole document contains must reach ``least``.
+
+Blocks of four shingles are sketched once; windows are minima of neighbouring blocks. Long
+texts are sketched in parts of ``PART`` shingles that overlap by half the largest window.
+Templates, of any number, are one table: below ``SMALL_ROWS`` band rows it is broadcast,
+above that joined by a shuffle; the same holds for the retrieved pairs. Texts never shuffle
+below that bound.
+
+Defined results: null or empty texts match nothing; a template of fewer than ``n`` words is
+one shingle of all its words; a template without words is refused; a text's matches are
+found whole however long it is (memory: some 100 bytes a word of the text in hand); equal
+rows match alike, each once a template; rows with a null or a repeated id are scanned each;
+two templates may match the same words, there are no ties to break; an empty table gives an
+empty result; extra columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import materialise
+from rewardmill.llm.common import checked_broadcast, materialise
+from rewardmill.llm.notices import NOTICES
 
-MAX_TEMPLATES = 5_000
-
-#: Fixed notices looked for by default.
-NOTICES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-2.1": "licensed under the GNU Lesser General Public License, version 2.1",
-    "MIT": "Released under the MIT License.",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-    "MPL-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+BLOCK = 4
+SIZES = (8, 16, 32)
+LONGEST_SEGMENT = SIZES[-1] // 2 + 1
+PART = 512
 
 
 def template_words(text: str) -> list[str]:
@@ -57,27 +57,11 @@ def template_shingles(words: list[str], n: int) -> list[str]:
     return list(dict.fromkeys(" ".join(words[k : k + size]) for k in range(len(words) - size + 1)))
 
 
-def window_size(words: int) -> int:
-    size = 8
-    while words > size * 3 // 4:
-        size *= 2
-    return size
-
-
-def telling_words(shingles: list[str]) -> list[str]:
-    """Words of six letters or more such that every shingle that has one holds one of these."""
-    left, out = [w for s in shingles if (w := {x for x in s.split() if len(x) >= 6})], []
-    while left:
-        seen = Counter(w for s in left for w in s)
-        best = max(seen, key=lambda w: (seen[w] * len(w), w))
-        out.append(best)
-        left = [s for s in left if best not in s]
-    return sorted(out)
-
-
-def short_patterns(shingles: list[str]) -> list[str]:
-    """Patterns of the shingles that have no such word: all their words, in lower-case text."""
-    return sorted({"[^a-z0-9]+".join(s.split()) for s in shingles if all(len(w) < 6 for w in s.split())})
+def segments(shingles: list[str]) -> list[list[str]]:
+    """Even runs of at most ``LONGEST_SEGMENT`` shingles."""
+    parts = -(-len(shingles) // LONGEST_SEGMENT)
+    cuts = [k * len(shingles) // parts for k in range(parts + 1)]
+    return [shingles[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def text_words(text: Column) -> Column:
@@ -86,111 +70,129 @@ def text_words(text: Column) -> Column:
     return F.when(F.length(plain) > 0, F.split(plain, " ")).otherwise(F.array().cast("array<string>"))
 
 
-def _joined(words: Column, at: Column, n: int) -> Column:
-    return F.array_join(F.slice(words, at, n), " ")
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def shingle_hashes(words: Column, span: int) -> Column:
+    """Hashes of all runs of ``span`` words, in order."""
+
+    def runs(hashed):
+        starts = F.when(F.size(hashed) >= span, F.sequence(F.lit(0), F.size(hashed) - span))
+        runs_ = F.transform(starts, lambda p: F.xxhash64(*(F.get(hashed, p + k) for k in range(span))))
+        return F.coalesce(runs_, F.array().cast("array<bigint>"))
+
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), runs)
+
+
+def _signature(hashes: Column, bands: int) -> Column:
+    """One MinHash a band: the smallest of the hashes, hashed again with the band's number."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))),
+    )
 
 
-# One-argument lambdas of a span: higher-order functions count a lambda's parameters.
+def _neighbours(sketches: Column) -> Column:
+    """Minima of every sketch and the next one."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(sketches) - 1),
+        lambda k: F.zip_with(
+            F.get(sketches, k), F.coalesce(F.get(sketches, k + 1), F.get(sketches, k)), lambda a, b: F.least(a, b)
+        ),
+    )
 
 
-def _is_known(shingles: Column, span: int):
-    return lambda p: F.array_contains(shingles, _joined(F.col("words"), p, span))
+def _every_second(sketches: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(sketches) - 1) / 2).cast("int")), lambda k: F.get(sketches, k * 2))
 
 
-def _windows_around(span: int, size: int, step: int):
-    """Numbers of the windows that hold the ``span`` words from position p on whole."""
-    return lambda p: F.sequence(
-        F.greatest(F.lit(0), F.ceil((p - 1 + span - size) / step)).cast("int"),
-        F.floor((p - 1) / step).cast("int"),
+def window_values(hashes: Column, bands: int, sizes: tuple[int, ...]) -> Column:
+    """Band values of all windows of the wanted sizes over (not empty) ``hashes``."""
+    single = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(0)))
+    wanted = [s for s in SIZES if s in sizes]
+    if not wanted:
+        return single
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / BLOCK).cast("int")),
+        lambda k: _let(F.slice(hashes, k * BLOCK + 1, BLOCK), lambda block: _signature(block, bands)),
     )
 
+    def level(sketches: Column, size: int) -> Column:
+        def windows(own: Column) -> Column:
+            parts = [F.flatten(own)] if size in wanted else []
+            if size < wanted[-1]:
+                parts.append(_let(_every_second(own), lambda blocks_: level(blocks_, 2 * size)))
+            return F.concat(*parts) if len(parts) > 1 else parts[0]
 
-def _hashed(span: int):
-    return lambda p: F.xxhash64(_joined(F.col("_window"), p, span))
+        return _let(_neighbours(sketches), windows)
+
+    values = _let(blocks, lambda b: level(b, SIZES[0]))
+    return F.concat(single, values) if 1 in sizes else values
+
+
+def size_of(segment: list[str]) -> int:
+    return 1 if len(segment) == 1 else next(s for s in SIZES if len(segment) <= s // 2 + 1)
 
 
 def scan(
-    docs: DataFrame, templates: dict[str, str] | None = None, n: int = 5, bands: int = 40,
+    docs: DataFrame, templates: dict[str, str] | None = None, n: int = 5, bands: int = 35,
     least: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, license, matched, shingles, containment) of every template found in a text."""
     spark: SparkSession = docs.sparkSession
     templates = NOTICES if templates is None else templates
-    words = {k: template_words(v) for k, v in templates.items()}
-    if len(templates) > MAX_TEMPLATES or not all(words.values()):
-        raise ValueError("templates: too many, or one without words")
+    words = {k: template_words(v) for k, v in sorted(templates.items())}
+    if not all(words.values()):
+        raise ValueError("templates: one without words")
     shingles = {k: template_shingles(w, n) for k, w in words.items()}
-    rows = [(k, window_size(len(words[k])), min(n, len(words[k])), shingles[k]) for k in sorted(words)]
-    known = spark.createDataFrame(rows, "license string, size int, span int, shingles array<string>")
-    signed = known.select(
-        "license", "size", "span", "shingles",
-        F.transform("shingles", lambda s: F.xxhash64(s)).alias("hashes"),
-    )
-
-    every = [s for v in shingles.values() for s in v]
-    words_, patterns = telling_words(every), short_patterns(every)
-    # inside one lambda, so that a text is lower-cased once and not once a word
-    possible = F.exists(
-        F.array(F.lower(F.col(text_col))),
-        lambda t: reduce(
-            or_, [F.contains(t, F.lit(w)) for w in words_] + [F.rlike(t, F.lit(p)) for p in patterns]
-        ),
+    spans = {k: min(n, len(w)) for k, w in words.items()}
+    known = spark.createDataFrame(
+        [(k, spans[k], shingles[k]) for k in shingles], "license string, span int, shingles array<string>"
     )
-    base = docs.filter(possible).select(F.col(id_col).alias("doc_id"), text_words(F.col(text_col)).alias("words"))
-    base = materialise(base.withColumn("_row", F.monotonically_increasing_id()))
-
-    wanted = sorted({(len(s.split()), s) for v in shingles.values() for s in v})
-    spans = sorted({k for k, _ in wanted})
-    found = []
-    for span in spans:
-        own = F.array(*(F.lit(s) for k, s in wanted if k == span))
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - (span - 1)))
-        # positions of template shingles: the only ones that can make a band collide
-        hits = F.filter(starts, _is_known(own, span))
-        sizes = sorted({size for _, size, s, _ in rows if s == span})
-        part = materialise(base.withColumn("_hits", hits).filter(F.size("_hits") > 0))
-        for size in sizes:
-            step = size // 4
-            around = F.array_distinct(
-                F.flatten(
-                    F.transform("_hits", _windows_around(span, size, step))
-                )
-            )
-            windows = part.select("doc_id", "_row", "words", F.explode(around).alias("_w"))
-            window = F.slice(F.col("words"), F.col("_w") * step + 1, size)
-            hashed = F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_window") - (span - 1))),
-                _hashed(span),
-            )
-            sketch = windows.withColumn("_window", window).select(
-                "doc_id", "_row", _signature(hashed, bands).alias("_sig")
-            )
-            rowwise = sketch.select("doc_id", "_row", F.posexplode("_sig").alias("band", "value"))
-            marks = signed.filter((F.col("size") == size) & (F.col("span") == span)).select(
-                "license", "shingles", F.posexplode(_signature(F.col("hashes"), bands)).alias("band", "value")
-            )
-            # at most MAX_TEMPLATES * bands rows
-            found.append(rowwise.join(F.broadcast(marks), ["band", "value"]).select("doc_id", "_row", "license", "shingles", F.lit(span).alias("span")))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    # texts' words meet the few retrieved pairs only now: bands carry ids alone
-    pairs = pairs.dropDuplicates(["_row", "license"]).join(base.select("_row", "words"), "_row")
-    all_shingles = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("span") + 1)),
-        lambda p: F.array_join(F.slice("words", p, F.col("span")), " "),
+    cut = [(k, spans[k], size_of(s), [x.split() for x in s]) for k in shingles for s in segments(shingles[k])]
+    parts = spark.createDataFrame(cut, "license string, span int, size int, runs array<array<string>>")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+    found = None
+    for span in sorted(set(spans.values())):
+        sizes = tuple(sorted({size for _, s, size, _ in cut if s == span}))
+        hashes = F.transform("runs", lambda r: F.xxhash64(*(F.xxhash64(F.get(r, F.lit(k))) for k in range(span))))
+        own = F.when(F.col("size") == 1, F.slice(_signature(hashes, 1), 1, 1)).otherwise(_signature(hashes, bands))
+        marks = parts.filter(F.col("span") == span).select("license", F.explode(own).alias("value")).distinct()
+        overlap = SIZES[-1] // 2
+        hashed = texts.select("doc_id", F.explode(F.array(shingle_hashes(text_words(F.col("text")), span))).alias("all"))
+        starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(PART))
+        pieces = hashed.filter(F.size("all") > 0).select(
+            "doc_id", F.explode(F.transform(starts, _part(F.col("all"), PART + overlap))).alias("hashes")
+        )
+        # sketched once a part: the inner array is a barrier that keeps explode from asking twice
+        sketched = pieces.select("doc_id", F.explode(F.array(window_values(F.col("hashes"), bands, sizes))).alias("values"))
+        values = sketched.select("doc_id", F.explode("values").alias("value"))
+        hits = values.join(checked_broadcast(marks), "value").select("doc_id", "license")
+        found = hits if found is None else found.unionByName(hits)
+    pairs = materialise(found.distinct())
+    # the few retrieved pairs go to where the texts are
+    chosen = texts.withColumnRenamed("doc_id", "id").join(
+        checked_broadcast(pairs), F.col("id").eqNullSafe(F.col("doc_id"))
+    ).join(checked_broadcast(known), "license")
+    contained = _let(
+        text_words(F.col("text")),
+        lambda w: F.size(F.array_intersect(F.col("shingles"), _runs(w, F.col("span")))),
     )
-    counted = pairs.withColumn("matched", F.size(F.array_intersect("shingles", all_shingles)))
     return (
-        counted.select("doc_id", "license", "matched", F.size("shingles").alias("shingles"))
+        chosen.select("doc_id", "license", contained.alias("matched"), F.size("shingles").alias("shingles"))
         .withColumn("containment", F.col("matched") / F.col("shingles"))
         .filter(F.col("containment") >= least)
     )
 
 
-def _signature(hashes: Column, bands: int) -> Column:
-    """One MinHash a band: the smallest of the hashes, hashed again with the band's number."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))),
-    )
+def _part(values: Column, length: int):
+    return lambda p: F.slice(values, p + 1, length)
+
+
+def _runs(words: Column, span: Column) -> Column:
+    """All runs of ``span`` words as text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - span + 1))
+    return F.transform(starts, lambda p: F.array_join(F.slice(words, p, span), " "))
