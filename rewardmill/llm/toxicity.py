@@ -1,11 +1,21 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat, target, negation, reported speech, other) through
-a weighted lexicon; the symbols of one clause then run through the composition of three
-letter transducers: *negation* weakens an insult or threat close behind a negator,
-*report* one that is quoted from somebody else, *target* strengthens one near a person
-addressed. The clause's score is the sum of its outputs' weights; a document is judged
-by its clauses, never by isolated words.
+Words become letters (insult, threat verb, intent, target, negator, reporter, ...) with a
+lexical weight; the letters of one clause run through the composition of five weighted
+transducers:
+
+* *insult* turns an insulting word into a match; behind another insult, or behind an
+  opening such as "piece of", into a stronger one;
+* *threat* turns a threat verb into a match, a full one where an intent ("will", "going")
+  stands at most a few words before it, else a weak one;
+* *negation* weakens a match close behind a negator;
+* *report* weakens a match behind somebody else's quoted speech;
+* *target* strengthens an insult near a person addressed, before or behind it, and lets a
+  threat count only where there is one: without it the threat's weight is held back.
+
+Weights multiply along the composition, and the clause's score is the sum of its output
+letters' weights; nothing is added to or taken from it beside the grammar. A document is
+judged by its clauses, never by isolated words.
 
 The lexicon's insults are learned: whole words first, then word stems among the words
 left over, each with its smoothed log-odds between toxic and clean training documents.
@@ -14,11 +24,14 @@ the lexicon has not seen, turns them into a probability. Both fits use at most
 ``max_training_rows`` labelled rows, those of the smallest md5 of their id.
 
 Scoring finds candidate words with one Aho-Corasick pass over the whole text and runs
-the grammar only on the clauses they stand in.
+the grammar only on the clauses they stand in, in time linear in the text.
 
 Defined results: null and empty texts have no clause and get the score of a text
-without matches; without any toxic training row every score is the share of toxic rows
-(0 if there are no rows); repeated rows score alike; extra columns are kept.
+without matches; texts are read whole, however long; without any toxic training row every
+score is the share of toxic rows (0 if there are no rows); repeated rows score alike, and a
+repeated label counts as toxic if one of its rows is; equal scores need no order, the
+result is a row a document; extra columns are kept, but ``score`` and ``predicted`` of the
+input give way to the results.
 """
 
 from __future__ import annotations
@@ -34,89 +47,151 @@ from pyspark.sql import functions as F
 
 from rewardmill.llm.common import ship
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "o", "I", "H", "t", "n", "r"
+OTHER, INSULT, VERB, INTENT, TARGET, NEGATION, REPORT, OPENING, LINK = "oivwtnrpl"
+#: Kinds that the insult and threat transducers write.
+MATCHED_INSULT, MATCHED_THREAT = "I", "H"
 
 #: Fixed word lists of the grammar (English, French, German, Spanish).
-THREATS = "kill murder hurt destroy shoot stab beat burn tuer frapper töten umbringen schlagen matar golpear".split()
+VERBS = "kill murder hurt destroy shoot stab beat burn tuer frapper töten umbringen schlagen matar golpear".split()
+INTENTS = "will shall going gonna want must should vais va veux doit werde wird muss soll voy quiero debe".split()
 TARGETS = (
     "you your yourself u he she him her they them his their people tu vous toi il elle ils eux "
     "du dich dir ihr euch er sie ihn tú usted ustedes él ella ellos"
 ).split()
 NEGATIONS = "not never no isn't aren't wasn't don't doesn't didn't pas jamais non nicht kein keine nie nunca jamás".split()
 REPORTS = "said says say wrote writes claimed claims called calls quoted dit disait sagte sagt schrieb dijo dice escribió".split()
+OPENINGS = "piece bunch pack bag espèce bande tas stück haufen pedazo montón".split()
+LINKS = "of de von d".split()
 
-#: Weight factors of the grammar's outputs: plain, targeted, negated, reported.
-FACTORS = {"plain": 1.0, "target": 1.3, "negated": 0.3, "reported": 0.4}
+#: Weights of the grammar's arcs.
+PILED, OPENED = 1.2, 1.2
+THREAT_WEIGHT, WITHOUT_INTENT = 2.0, 0.5
+NEGATED, REPORTED = 0.3, 0.4
+TARGETED = 1.3
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n|]")
 
 
+#: A letter of the tapes: kind, weight, and how much of it was weakened on the way.
+Letter = tuple[str, float, float]
+
+
 class Transducer:
-    """Letter transducer: (state, symbol) -> (symbol, state); absent arcs copy and age.
+    """Weighted letter transducer: ``step(state, letter)`` gives (letter, state).
 
-    A state is a tuple; ``step`` is a pure function of state and symbol, so composition
-    is the product of states with one machine's output fed to the next.
+    ``step`` is a pure function, so composition is the product of states with one
+    machine's output fed to the next.
     """
 
     def __init__(self, start, step):
         self.start, self.step = start, step
 
-    def __call__(self, symbols):
+    def __call__(self, letters: list[Letter]) -> list[Letter]:
         state, out = self.start, []
-        for s in symbols:
+        for s in letters:
             o, state = self.step(state, s)
             out.append(o)
         return out
 
 
-def compose(first: Transducer, second: Transducer) -> Transducer:
-    """The transducer that reads as ``first`` and writes as ``second`` of its output."""
+def compose(*machines: Transducer) -> Transducer:
+    """The transducer that feeds each machine's output to the next."""
+    if len(machines) == 1:
+        return machines[0]
+    first, second = machines[0], compose(*machines[1:])
 
-    def step(state, symbol):
-        middle, a = first.step(state[0], symbol)
+    def step(state, letter):
+        middle, a = first.step(state[0], letter)
         out, b = second.step(state[1], middle)
         return out, (a, b)
 
     return Transducer((first.start, second.start), step)
 
 
-def _after(trigger: str, reach: int, mark: str) -> Transducer:
-    """Marks a match that stands at most ``reach`` words behind ``trigger``."""
+def insult_machine() -> Transducer:
+    """States: 0 plain, 1 behind an opening, 2 behind its link, 3 behind an insult."""
 
-    def step(left, symbol):
-        if symbol[0] == trigger:
-            return symbol, reach
-        if left and symbol[0] in (INSULT, THREAT):
-            return symbol + mark, left - 1
-        return symbol, max(0, left - 1)
+    def step(state, letter):
+        kind, weight, weak = letter
+        if kind == INSULT:
+            factor = {2: OPENED, 3: PILED}.get(state, 1.0)
+            return (MATCHED_INSULT, weight * factor, weak), 3
+        if kind == OPENING:
+            return letter, 1
+        return letter, 2 if kind == LINK and state == 1 else 0
 
     return Transducer(0, step)
 
 
-#: Symbols are a class letter and the marks that transducers have added.
-GRAMMAR = compose(
-    compose(_after(NEGATION, 3, "-"), _after(REPORT, 8, "~")), _after(TARGET, 5, "+")
-)
+def threat_machine(reach: int = 4) -> Transducer:
+    """State: how many more words an intent reaches."""
+
+    def step(left, letter):
+        kind, weight, weak = letter
+        if kind == INTENT:
+            return letter, reach
+        if kind == VERB:
+            letter = (MATCHED_THREAT, weight * (1.0 if left else WITHOUT_INTENT), weak)
+        return letter, max(0, left - 1)
+
+    return Transducer(0, step)
+
 
+def weakening_machine(trigger: str, reach: int, factor: float) -> Transducer:
+    """Matches at most ``reach`` words behind ``trigger`` lose weight."""
 
-def clause_score(symbols: list[str], weights: list[float]) -> tuple[float, float]:
-    """(score, weakened part) of one clause of word symbols and their lexical weights."""
+    def step(left, letter):
+        kind, weight, weak = letter
+        if kind == trigger:
+            return letter, reach
+        if left and kind in (MATCHED_INSULT, MATCHED_THREAT):
+            letter = (kind, weight * factor, weak + weight)
+        return letter, max(0, left - 1)
+
+    return Transducer(0, step)
+
+
+def target_machine(reach: int = 5) -> Transducer:
+    """State: words that a target still reaches, whether there was one, and what a later
+    target would add: an insult's bonus, a threat's whole weight. It is put on that target."""
+
+    def step(state, letter):
+        left, any_, bonus, held, held_weak = state
+        kind, weight, weak = letter
+        if kind == TARGET:
+            return (kind, weight + bonus + held, weak + held_weak), (reach, True, 0.0, 0.0, 0.0)
+        if kind == MATCHED_INSULT:
+            if left:
+                letter = (kind, weight * TARGETED, weak)
+            else:
+                bonus += weight * (TARGETED - 1)
+        elif kind == MATCHED_THREAT and not any_:
+            letter, held, held_weak = (kind, 0.0, 0.0), held + weight, held_weak + weak
+        return letter, (max(0, left - 1), any_, bonus, held, held_weak)
+
+    return Transducer((0, False, 0.0, 0.0, 0.0), step)
+
+
+MACHINES = {
+    "insult": insult_machine(),
+    "threat": threat_machine(),
+    "negation": weakening_machine(NEGATION, 3, NEGATED),
+    "report": weakening_machine(REPORT, 8, REPORTED),
+    "target": target_machine(),
+}
+GRAMMAR = compose(*MACHINES.values())
+#: Kinds whose input letters carry a weight only for the machine that matches them.
+_SCORED = (MATCHED_INSULT, MATCHED_THREAT, TARGET)
+
+
+def clause_score(letters: list[Letter], grammar: Transducer = GRAMMAR) -> tuple[float, float]:
+    """(score, weakened part) of one clause: sums over what the grammar writes."""
     total = weakened = 0.0
-    late = TARGET in symbols
-    for out, w in zip(GRAMMAR(symbols), weights):
-        if out[0] not in (INSULT, THREAT):
-            continue
-        factor = FACTORS["plain"]
-        if "-" in out:
-            factor = FACTORS["negated"]
-        elif "~" in out:
-            factor = FACTORS["reported"]
-        elif "+" in out or late:
-            factor = FACTORS["target"]
-        total += w * factor
-        if factor < 1:
-            weakened += w
+    for kind, weight, weak in grammar(letters):
+        if kind in _SCORED:
+            total += weight
+            weakened += weak
     return total, weakened
 
 
@@ -138,8 +213,11 @@ class Lexicon:
 
 
 MIN_STEM, MAX_STEM = 4, 8
-_GRAMMAR_WORDS = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT)}
-_THREAT_WEIGHT = 2.0
+_KINDS = {
+    w: kind
+    for kind, words in ((LINK, LINKS), (OPENING, OPENINGS), (INTENT, INTENTS), (REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (VERB, VERBS))
+    for w in words
+}
 
 
 class Scorer:
@@ -147,7 +225,6 @@ class Scorer:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.threats = set(THREATS)
         self.machine = None
 
     def _automaton(self):
@@ -155,55 +232,55 @@ class Scorer:
             import ahocorasick
 
             self.machine = ahocorasick.Automaton()
-            for key in {*self.lexicon.words, *self.lexicon.stems, *self.threats}:
+            for key in {*self.lexicon.words, *self.lexicon.stems, *VERBS}:
                 self.machine.add_word(key, len(key))
             self.machine.make_automaton()
         return self.machine
 
+    def clauses(self, low: str) -> list[tuple[int, int]]:
+        """Spans of the clauses of a lower-case text that hold a word's beginning which the
+        lexicon knows. Every search stays behind the clause before: linear in the text."""
+        spans, floor = [], 0
+        for last, size in self._automaton().iter(low):
+            at = last + 1 - size
+            if at < floor or at and low[at - 1].isalpha():
+                continue
+            begin = max(floor, max(low.rfind(x, floor, at) for x in ".!?;:\n|") + 1)
+            stop = _CLAUSE_END.search(low, last)
+            floor = stop.start() if stop else len(low)
+            spans.append((begin, floor))
+        return spans
+
+    def letter(self, word: str) -> Letter:
+        weight = self.lexicon.weight(word)
+        if weight:
+            return INSULT, weight, 0.0
+        kind = _KINDS.get(word, OTHER)
+        return kind, THREAT_WEIGHT if kind == VERB else 0.0, 0.0
+
     def features(self, text: str | None) -> tuple[float, float, float, float]:
         """log of summed clause scores, best clause, log of distinct words, weakened part."""
         if not text:
             return (0.0, 0.0, 0.0, 0.0)
         low = text.lower()
-        spans, end = [], 0
-        for last, size in self._automaton().iter(low):
-            at = last + 1 - size
-            if at < end or at and (low[at - 1].isalpha()):
-                continue
-            begin = max((low.rfind(x, 0, at) for x in ".!?;:\n|"), default=-1) + 1
-            stop = _CLAUSE_END.search(low, last)
-            end = stop.start() if stop else len(low)
-            spans.append((begin, end))
         total = best = weak = 0.0
         found = set()
-        for begin, stop in spans:
-            symbols, weights = [], []
-            for m in _WORD.finditer(low, begin, stop):
-                word = m.group()
-                w = self.lexicon.weight(word)
-                if w:
-                    found.add(word)
-                    symbols.append(INSULT)
-                elif word in self.threats:
-                    w = _THREAT_WEIGHT
-                    symbols.append(THREAT)
-                else:
-                    symbols.append(_GRAMMAR_WORDS.get(word, OTHER))
-                weights.append(w)
-            if THREAT in symbols and TARGET not in symbols:  # a threat needs somebody it is against
-                weights = [0.0 if s == THREAT else w for s, w in zip(symbols, weights)]
-            score, weakened = clause_score(symbols, weights)
+        for begin, stop in self.clauses(low):
+            words = [m.group() for m in _WORD.finditer(low, begin, stop)]
+            letters = [self.letter(w) for w in words]
+            found.update(w for w, x in zip(words, letters) if x[0] == INSULT)
+            score, weakened = clause_score(letters)
             total += score
             weak += weakened
             best = max(best, score)
         return (math.log1p(total), best, math.log1p(len(found)), math.log1p(weak))
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "threats": self.threats, "machine": None}
+        return {"lexicon": self.lexicon, "machine": None}
 
 
 def _distinct_words(text: str) -> set[str]:
-    return {w for w in _WORD.findall(text.lower()) if len(w) < 40}
+    return set(_WORD.findall(text.lower()))
 
 
 def _class_counts(train: DataFrame, stems: bool, known: set[str]) -> dict[str, tuple[int, int]]:
