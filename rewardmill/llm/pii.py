@@ -1,7 +1,9 @@
 """Personal data: base patterns plus bootstrapped contextual extraction.
 
 Base kinds (email, ip, card, phone) are found by fixed patterns with checks. Their spans
-are *seeds*: the words left of a seed are its lexical pattern. Spark then scores the
+are *seeds*: the one and the two tokens left of a seed on its line are its lexical patterns
+(of a token longer than ``TOKEN_TAIL`` characters, its end: everywhere alike, so that
+patterns stay words and not whole blobs). Spark then scores the
 bipartite graph of patterns and instances iteratively: a pattern is worth the summed
 worth of the instances it picks out over all its occurrences in the corpus (damped for
 rare ones), so an everyday word before an address is worth nothing; an unseen instance
@@ -14,8 +16,11 @@ Pattern and instance statistics are pre-aggregated counts over all documents, ke
 tables joined by pattern. The driver sees hashes of the candidates, and all accepted
 patterns, which go to every worker; neither is cut.
 
-Defined results: null text is empty and has no spans; repeated rows are searched each;
-an empty table gives an empty result; extra columns are kept by ``redact``.
+Defined results: null text is empty and has no spans; texts are read whole, in time linear
+in their length (one document is in memory at a time beside its Arrow batch); repeated rows
+are searched each; patterns of equal score are all accepted, so ties decide nothing; an empty
+table gives an empty result; ``redact`` keeps every column, whatever it is called, and
+replaces the text column alone; ``extract`` ignores extra columns.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -36,15 +42,19 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 #: Fixed by the contract of the base kinds.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match can only begin with a run of digits and takes runs whole; said so, it is linear.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_IDENTIFIER = re.compile(r"(?=[^\s]*[0-9@])[\w@.+-]{5,}")
+_IDENTIFIER = re.compile(r"[\w@.+-]{5,}")
 _DIGITS = re.compile(r"[0-9]")
 #: A place inside a token where an identifier may begin.
 _INSIDE = re.compile(r"[^\w\s@.+-](?=[\w@.+-])")
 _OPENING = "\"'([{<"
+_WHITE = re.compile(r"\s")
+#: Characters of a token that its pattern keeps, from its end.
+TOKEN_TAIL = 40
 
 
 def luhn(digits: str) -> bool:
@@ -85,17 +95,44 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def patterns_before(text: str, start: int) -> list[str]:
-    """Lexical patterns of a position: the one and the two tokens left of it on its line.
+class Left:
+    """Lexical patterns of positions in a text: the one and the two tokens left of them on
+    their line, so that a pattern names a context, not a value.
 
-    Tokens are lower-cased, digits become 0, so that a pattern names a context, not a value.
+    Positions of white space are listed once a text and searched by bisection.
     """
-    begin = max(text.rfind("\n", 0, start), start - 80) + 1
-    left = text[begin:start].lower().rstrip(_OPENING).split()
-    left = [_DIGITS.sub("0", t) for t in left[-2:]]
-    if len(left) == 2:
-        return [left[1], " ".join(left)]
-    return left
+
+    def __init__(self, text: str):
+        self.text, self.white = text, None
+
+    def token_before(self, at: int) -> tuple[int, int] | None:
+        """Span of the last token (or part of one) that ends at ``at`` or before, on its line."""
+        if self.white is None:
+            self.white = [m.start() for m in _WHITE.finditer(self.text)]
+        k = bisect_left(self.white, at)
+        while k and self.white[k - 1] == at - 1:
+            if self.text[at - 1] == "\n":
+                return None
+            at, k = at - 1, k - 1
+        start = self.white[k - 1] + 1 if k else 0
+        return (start, at) if start < at else None
+
+    def patterns(self, at: int) -> list[str]:
+        while at and self.text[at - 1] in _OPENING:
+            at -= 1
+        last = self.token_before(at)
+        if last is None:
+            return []
+        first, one = self.token_before(last[0]), self.shaped(last)
+        return [one, f"{self.shaped(first)} {one}"] if first else [one]
+
+    def shaped(self, span: tuple[int, int]) -> str:
+        start, end = span
+        return _DIGITS.sub("0", self.text[max(start, end - TOKEN_TAIL) : end].lower()[-TOKEN_TAIL:])
+
+
+def patterns_before(text: str, start: int) -> list[str]:
+    return Left(text).patterns(start)
 
 
 def contexts(line: str) -> list[tuple[str, str]]:
@@ -103,13 +140,19 @@ def contexts(line: str) -> list[tuple[str, str]]:
     may follow: behind every token and, as in key=value, inside it ("" for none)."""
     if _DIGITS.search(line):
         line = _DIGITS.sub("0", line)
-    words, out = line.split(), []
+    words, out, before = line.split(), [], ""
     inside = _INSIDE.search(line) is not None
-    for k, w in enumerate(words):
-        heads = [w]
+    for w in words:
+        heads = [w[-TOKEN_TAIL:]]
         if inside and not w.isalnum():
-            heads += [h for m in _INSIDE.finditer(w) if (h := w[: m.end()].rstrip(_OPENING))]
-        out += [(h, f"{words[k - 1]} {h}" if k else "") for h in heads]
+            for m in _INSIDE.finditer(w):
+                end = m.end()
+                while end and w[end - 1] in _OPENING:
+                    end -= 1
+                if end:
+                    heads.append(w[max(0, end - TOKEN_TAIL) : end])
+        out += [(h, f"{before} {h}" if before else "") for h in heads]
+        before = heads[0]
     return out
 
 
@@ -117,15 +160,24 @@ def identifiers(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]
     """Spans of identifier-like tokens that don't overlap ``taken``."""
     if not _DIGITS.search(text) and "@" not in text:
         return []
-    out = []
+    out, busy, upto = [], [], 0
+    for a, b in sorted(taken):  # spans of different kinds may overlap: as disjoint ones
+        if busy and a < busy[-1][1]:
+            busy[-1] = (busy[-1][0], max(b, busy[-1][1]))
+        else:
+            busy.append((a, b))
     for m in _IDENTIFIER.finditer(text):
         s, e = m.span()
         while e > s and text[e - 1] in ".-+":
             e -= 1
         token = text[s:e]
-        digits = sum("0" <= c <= "9" for c in token)
+        digits = len(_DIGITS.findall(token))
         mixed = digits and any(c.isalpha() for c in token)
-        if e - s >= 5 and (mixed or digits >= 7 or "@" in token) and not any(s < b and a < e for a, b in taken):
+        if e - s < 5 or not (mixed or digits >= 7 or "@" in token):
+            continue
+        while upto < len(busy) and busy[upto][1] <= s:
+            upto += 1
+        if upto == len(busy) or busy[upto][0] >= e:
             out.append((s, e))
     return out
 
@@ -139,11 +191,11 @@ def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
             for text in pdf["text"]:
                 if not text:
                     continue
-                spans = base_spans(text)
+                spans, left = base_spans(text), Left(text)
                 taken = [(s, e) for _, s, e in spans]
                 for seed, (s, e) in [*((1, x) for x in taken), *((0, x) for x in identifiers(text, taken))]:
                     name = hashlib.blake2b(text[s:e].lower().encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
-                    for p in patterns_before(text, s):
+                    for p in left.patterns(s):
                         key = (p, name, seed)
                         seen[key] = seen.get(key, 0) + 1
             if seen:
@@ -263,8 +315,9 @@ def find_spans(text: str | None, patterns: dict[str, float]) -> tuple[list, list
     base = base_spans(text)
     if not patterns:
         return base, []
+    left = Left(text)
     more = [("context", s, e) for s, e in identifiers(text, [(s, e) for _, s, e in base])
-            if any(p in patterns for p in patterns_before(text, s))]
+            if any(p in patterns for p in left.patterns(s))]
     return base, more
 
 
