@@ -88,6 +88,24 @@ def test_jaccard_components_equal_brute_force(spark, docs):
     assert jaccard.components(empty(docs)).count() == 0
 
 
+def test_canopy_size_decides_no_result(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(200)]
+    rows = []
+    for g in range(12):  # groups of near copies round the bound, of 2 to 13 texts
+        base = list(rng.choice(words, 40))
+        for k in range(g + 2):
+            w = list(base)
+            for at in rng.integers(0, 40, rng.integers(0, 3)):
+                w[at] = f"y{rng.integers(0, 5)}"
+            rows.append((100 * g + k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    for bound in (2, 6, 100):
+        monkeypatch.setattr(jaccard, "SMALL_CANOPY", bound)
+        assert sorted(map(tuple, jaccard.components(df).collect())) == want
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
@@ -281,6 +299,30 @@ def test_license_scan(spark, docs):
         licenses.scan(df, {"none": "!!"})
 
 
+def test_bands_retrieve_templates_of_every_length(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(3_000)]
+    lengths = [1, 2, 3, 4, 5, 6, 7, 8, 9, 13, 14, 21, 22, 40, 160]
+    templates = {f"t{m}-{k}": " ".join(rng.choice(words, m, replace=False)) + (f" only{m}x{k}" if m < 3 else "") for m in lengths for k in range(8)}
+    rows, want = [], set()
+    for i, (name, text) in enumerate(templates.items()):
+        for c in range(4):
+            filler = [" ".join(rng.choice(words, rng.integers(0, 700))) for _ in range(2)]
+            rows.append((10 * i + c, f"{filler[0]} {text} {filler[1]}"))
+            want.add((10 * i + c, name))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(df, templates).collect()}
+    assert want <= got
+
+
+def test_any_number_of_templates(spark, monkeypatch):
+    monkeypatch.setattr("rewardmill.llm.common.SMALL_ROWS", 50)  # the joins without broadcast
+    templates = {f"t{k}": f"notice number{k} of all the many" for k in range(6_000)}
+    df = spark.createDataFrame([(1, "x notice number5 of all the many y"), (2, "notice number5999 of all the many"), (3, "notice of all the many")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"], r["containment"]) for r in licenses.scan(df, templates, least=0.9).collect())
+    assert got == [(1, "t5", 1.0), (2, "t5999", 1.0)]
+
+
 def budgets(spark, leaves, weights, budget, epochs=1):
     rows = spark.createDataFrame(leaves, "a string, b string, tokens long")
     return {(r["a"], r["b"]): r["budget"] for r in mixing.leaf_budgets(rows, ["a", "b"], weights, budget, epochs).collect()}

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -143,10 +144,31 @@ def test_rank_order_distance():
     assert langid.distances("123", top[order], ranks, 5) is None
 
 
+def letters(*kinds):
+    return [(k, {"i": 2.0, "v": 2.0}.get(k, 0.0), 0.0) for k in kinds]
+
+
 def test_grammar_composes():
-    weigh = lambda *s: toxicity.clause_score(list(s), [2.0 if x == "I" else 0.0 for x in s])[0]
-    assert weigh("o", "I") == 2.0 and weigh("t", "o", "I") == 2.6 and weigh("n", "I") == pytest.approx(0.6)
-    assert weigh("r", "o", "I") == pytest.approx(0.8) and weigh("o", "o") == 0.0
+    weigh = lambda *s: toxicity.clause_score(letters(*s))[0]
+    assert weigh("o", "i") == 2.0 and weigh("t", "o", "i") == 2.6 == weigh("i", "o", "t") and weigh("n", "i") == pytest.approx(0.6)
+    assert weigh("r", "o", "i") == pytest.approx(0.8) and weigh("o", "o") == 0.0 and weigh("n", "t", "i") == pytest.approx(0.78)
+    assert weigh("p", "l", "i") == 2.4 == weigh("p", "l", "i") and weigh("i", "i") == 4.4
+    assert weigh("w", "v", "t") == 2.0 == weigh("t", "w", "v") and weigh("v", "t") == 1.0 and weigh("w", "v") == 0.0
+    assert toxicity.clause_score(letters("n", "i")) == (pytest.approx(0.6), 2.0)
+
+
+@pytest.mark.parametrize("name, clause", [("insult", "oi"), ("threat", "wvt"), ("negation", "ni"), ("report", "roi"), ("target", "ti"), ("target", "it"), ("target", "wv")])
+def test_every_machine_counts(name, clause):
+    rest = toxicity.compose(*(m for k, m in toxicity.MACHINES.items() if k != name))
+    assert toxicity.clause_score(letters(*clause), rest) != toxicity.clause_score(letters(*clause))
+
+
+def test_scorer_is_linear_in_the_text():
+    s = toxicity.Scorer(toxicity.Lexicon({"moron": 5.0}))
+    for text in ("moron " * 150_000, "moron. " * 120_000, "x" * 500_000 + " moron" * 50_000):
+        began = time.perf_counter()
+        assert s.features(text)[1] >= 5.0
+        assert time.perf_counter() - began < 8
 
 
 def test_scorer_reads_clauses():
@@ -156,8 +178,61 @@ def test_scorer_reads_clauses():
     assert f("scummiest of all") == 4.0 and f("I will kill you") > 0 == f("kill the process")
 
 
-def test_telling_words_hit_every_shingle():
-    all_ = [s for t in licenses.NOTICES.values() for s in licenses.template_shingles(licenses.template_words(t), 5)]
-    words = licenses.telling_words(all_)
-    short = licenses.short_patterns(all_)
-    assert all(any(w in s.split() for w in words) or any(re.search(p, s) for p in short) for s in all_)
+def test_segments_fit_their_windows():
+    for m in range(1, 300):
+        parts = licenses.segments([str(k) for k in range(m)])
+        assert sum(parts, []) == [str(k) for k in range(m)] and max(map(len, parts)) <= licenses.LONGEST_SEGMENT
+        assert all(len(p) / licenses.size_of(p) >= 0.25 for p in parts)
+
+
+def slow_identifiers(text, taken):
+    out = []
+    for m in re.finditer(r"(?=[^\s]*[0-9@])[\w@.+-]{5,}", text):
+        s, e = m.span()
+        e -= len(text[s:e]) - len(text[s:e].rstrip(".-+"))
+        token = text[s:e]
+        digits = sum("0" <= c <= "9" for c in token)
+        if e - s >= 5 and (digits and any(c.isalpha() for c in token) or digits >= 7 or "@" in token) and not any(s < b and a < e for a, b in taken):
+            out.append((s, e))
+    return out
+
+
+PIECES = st.sampled_from(["ab", "1", "22", "@", ".", "-", " ", "\n", "=", '"', "(", "x9y8z", "key", ":", "\t", "é", "A", "."])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=14).map("".join))
+def test_identifiers_and_their_contexts(text):
+    taken = [(s, e) for _, s, e in pii.base_spans(text)]
+    assert pii.identifiers(text, taken) == slow_identifiers(text, taken)
+    found = {p for line in text.lower().split("\n") for both in pii.contexts(line) for p in both}
+    for s, _ in pii.identifiers(text, taken):
+        before = re.sub("[0-9]", "0", text[text.rfind("\n", 0, s) + 1 : s].lower().rstrip(pii._OPENING)).split()[-2:]
+        before = [w[-pii.TOKEN_TAIL :] for w in before]
+        assert pii.patterns_before(text, s) == ([before[1], " ".join(before)] if len(before) == 2 else before)
+        assert found.issuperset(pii.patterns_before(text, s))
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a" * 1_000_000 + "1", "k=a1b2c3&" * 110_000, "1.1.1 " * 160_000, "a@" * 500_000, "tok ab12c34 " * 90_000])
+def test_personal_data_is_linear_in_the_text(text):
+    began = time.perf_counter()
+    pii.find_spans(text, {"x": 1.0})
+    pii.contexts(text)
+    assert time.perf_counter() - began < 4
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(0, 10_000))
+def test_maxscore_with_a_floor_keeps_what_reaches_it(seed):
+    rng = np.random.default_rng(seed)
+    terms, ids = rng.integers(-9, 10, (3_000, 6)) * 7, np.arange(3_000)
+    query = rng.integers(-9, 10, 6)
+    scores = terms @ query
+    order = np.lexsort((ids, -scores))
+    order = order[order != 5][:10]
+    for floor in (None, int(scores[order[-1]]), int(scores[order[3]])):
+        got = Shard(ids, terms).top(5, query, 10, floor)
+        sure = [i for i in order if floor is None or scores[i] >= floor]
+        assert got[0].tolist()[: len(sure)] == sure
+
+
