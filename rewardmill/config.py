@@ -11,7 +11,7 @@ class LayoutConfig:
 
     max_rows: int = 10_000
     max_files_per_group: int = 500
-    max_key_bytes: int = 204_800
+    max_key_bytes: int | None = 204_800  #: None: no bound on a turn's paths
     max_groom_iterations: int = 30
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rewardmill.sources.scratch import checkpointed
+
 EMPTY = "{}"
 
 
@@ -85,7 +85,7 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
         if depth % max(1, max_depth) == 0 and depth >= max_depth:
             if nested_rows.isEmpty():
                 break
-            nested_rows = _checkpointed(nested_rows)
+            nested_rows = checkpointed(nested_rows)
         depth += 1
         name = "_f"
         exploded = nested_rows.withColumnRenamed("feature", name).lateralJoin(
@@ -99,12 +99,5 @@ def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth:
     )
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rewardmill-"))
-    return df.checkpoint()
-
-
 def _explode_variant(spark):
     return spark.tvf.variant_explode_outer(F.col("v").outer())

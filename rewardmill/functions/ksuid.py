@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,9 +42,20 @@ def seconds(ident: Column) -> Column:
     return F.when(well_formed(ident), top + EPOCH)
 
 
-def is_valid(ident: Column, now: Column) -> Column:
-    """Well formed and not later than ``now`` (unix seconds)."""
-    return well_formed(ident) & F.coalesce(seconds(ident) <= now, F.lit(False))
+def is_valid(ident: Column, now: Column | float) -> Column:
+    """Well formed and not later than ``now`` (unix seconds).
+
+    Ids sort as their times do: against a known second it is a comparison of strings, which
+    decodes nothing; only a time by row needs the id's own.
+    """
+    if isinstance(now, Column):
+        return well_formed(ident) & F.coalesce(seconds(ident) <= now, F.lit(False))
+    after = math.floor(now) + 1
+    if after <= EPOCH:
+        return F.lit(False)
+    if after - EPOCH >= 1 << 32:
+        return well_formed(ident)
+    return well_formed(ident) & F.coalesce(ident < F.lit(lower_bound(after)), F.lit(False))
 
 
 def iso_basic(ident: Column) -> Column:

@@ -49,13 +49,13 @@ def chunk_of(time: Column, level: Column) -> Column:
 
 
 def groom_groups(manifest: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
-    """(model, group_no, paths): files to merge, in path order within a model.
+    """(model, group_no, paths): files to merge, in the order of their latest time.
 
     A sequential fold over each model's files (metadata, not rows): files join the open
     group while rows and files stay within bounds; then groups whose time touches the next
     one's are merged in pairs, never in chains; single files are left alone.
     """
-    file = F.struct("path", "min_ts", "max_ts", "row_count")
+    file = F.struct("max_ts", "path", "min_ts", "row_count")
     files = manifest.groupBy("model").agg(F.array_sort(F.collect_list(file)).alias("files"))
     one = "struct<paths:array<string>,lo:string,hi:string,n:bigint>"
     empty = F.struct(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,28 +17,38 @@ def merge(rows: DataFrame, keys: Sequence[str] = ("decision_id",), order: str =
     """One row a key: first non-null of every column by ``order``, rewards united by
     message id (the last value of one wins), reward their sum. Idempotent.
 
-    A full outer join of decisions and rewards as one union and two aggregations that
-    combine before they shuffle: the first, by key and message, also spreads a decision
-    that draws a large part of all rewards; the second sees one row a message.
+    Rewards are the JSON of ``rewards`` or, on rows that have a ``message_id`` and a
+    ``value``, that single one: what is fresh needn't become text to be read again.
+
+    A full outer join of decisions and rewards as one union and two aggregations. The first
+    is over rewards alone, by key and message: it combines before it shuffles, and spreads a
+    decision that draws a large part of all rewards. The second sees every decision row and
+    one row a message; bodies never travel twice.
     """
     keys = list(keys)
-    entries = F.coalesce(
-        F.map_entries(json.rewards_map(F.col("rewards"))),
-        F.array().cast("array<struct<key:string,value:string>>"),
-    )
-    whole = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
-    spread = rows.select(
-        *keys, *FIRST_OF, F.col(order).alias("_o"), F.inline(F.concat(whole, entries)).alias("message_id", "value")
-    )
-    body = F.col("message_id").isNull()
-    per_message = spread.groupBy(*keys, "message_id").agg(
-        *(F.min_by(F.struct("_o", c), F.when(body & F.col(c).isNotNull(), F.col("_o"))).alias(f"_{c}") for c in FIRST_OF),
-        F.max_by("value", "_o").alias("value"),
-    )
-    reward_entry = F.when(F.col("message_id").isNotNull(), F.struct("message_id", "value"))
-    merged = per_message.groupBy(*keys).agg(
-        *(F.min_by(F.col(f"_{c}.{c}"), F.col(f"_{c}._o")).alias(c) for c in FIRST_OF),
-        F.array_sort(F.collect_list(reward_entry)).alias("_rewards"),
+    pair = "array<struct<message_id:string,value:string>>"
+    stored = F.map_entries(json.rewards_map(F.col("rewards"))).cast(pair)
+    entries = F.coalesce(stored, F.array().cast(pair))
+    if {"message_id", "value"} <= set(rows.columns):
+        own = F.array(F.struct("message_id", "value")).cast(pair)
+        entries = F.when(F.col("message_id").isNotNull(), own).otherwise(entries)
+    ordered = F.col(order).alias("_o")
+    said = rows.select(*keys, ordered, F.inline(entries).alias("message_id", "value"))
+    last = said.groupBy(*keys, "message_id").agg(F.max_by("value", "_o").alias("value"))
+    # every key keeps a row, whatever it holds
+    bodies = rows.select(*keys, ordered, *FIRST_OF)
+    given = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in FIRST_OF))
+    bare = bodies.filter(~given).select(*keys).distinct()
+    nulls = {f: F.lit(None).cast(bodies.schema[f].dataType) for f in ("_o", *FIRST_OF)}
+    no_entry = F.lit(None).cast("struct<message_id:string,value:string>")
+    parts = [
+        bodies.filter(given).withColumn("_entry", no_entry),
+        bare.withColumns({**nulls, "_entry": no_entry}),
+        last.select(*keys, *(v.alias(f) for f, v in nulls.items()), F.struct("message_id", "value").alias("_entry")),
+    ]
+    merged = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(
+        *(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_o"))).alias(c) for c in FIRST_OF),
+        F.array_sort(F.collect_list("_entry")).alias("_rewards"),
     )
     return merged.select(
         *keys, *FIRST_OF, json.rewards_text(F.col("_rewards")).alias("rewards"),
@@ -46,9 +57,15 @@ def merge(rows: DataFrame, keys: Sequence[str] = ("decision_id",), order: str =
 
 
 def merge_files(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Late rewards: the same merge over what is stored and what is new, stored rows first."""
-    old = existing.withColumn("_seq", F.struct(F.lit(0).alias("new"), F.monotonically_increasing_id().alias("at")))
-    fresh = new.withColumn("_seq", F.struct(F.lit(1).alias("new"), F.col("_seq").cast("long").alias("at")))
+    """Late rewards: the same merge over what is stored and what is new, stored rows first.
+
+    Stored rows have the order that ``_seq`` gives them; without one they must hold at most
+    one row a key, as what was merged does.
+    """
+    if "_seq" not in existing.columns:
+        existing = existing.withColumn("_seq", F.lit(0))
+    old = existing.withColumn("_seq", F.struct(F.lit(0).alias("new"), F.col("_seq").cast("double").alias("at")))
+    fresh = new.withColumn("_seq", F.struct(F.lit(1).alias("new"), F.col("_seq").cast("double").alias("at")))
     return merge(old.unionByName(fresh, allowMissingColumns=True), keys)
 
 

@@ -12,7 +12,7 @@ def _kind(v: Column) -> Column:
     return F.when(v.isNotNull() & ~F.is_variant_null(v), F.schema_of_variant(v))
 
 
-def parse(lines: DataFrame, now: Column) -> DataFrame:
+def parse(lines: DataFrame, now: Column | float) -> DataFrame:
     """One row a line: its fields, ``is_decision``, and ``reject_reason`` (null if valid).
 
     The rules, in order: an object; a valid message_id, not in the future; a valid model;
@@ -53,7 +53,8 @@ def to_rewarded_decisions(records: DataFrame) -> DataFrame:
     """Valid records as rows of the central table, with model and _seq.
 
     A decision's absent item or context is the JSON text ``null``; its sample is there
-    only if given. A reward becomes a row of its decision with that one reward.
+    only if given. A reward becomes a row of its decision with that one reward, as JSON and
+    as ``message_id`` and ``value``, which a merge takes as they are.
     """
     valid = records.filter("reject_reason IS NULL")
     decision = F.col("is_decision")
@@ -65,6 +66,7 @@ def to_rewarded_decisions(records: DataFrame) -> DataFrame:
         F.when(decision, F.col("count").cast("double")).alias("count"),
         F.when(decision & F.col("has_sample"), stored("sample")).alias("sample"),
         F.when(~decision, one).alias("rewards"), F.lit(None).cast("double").alias("reward"), "_seq",
+        F.when(~decision, F.col("message_id")).alias("message_id"), F.when(~decision, F.col("reward_text")).alias("value"),
     )
 
 

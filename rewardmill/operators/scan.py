@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rewardmill.functions.arithmetic import uniform_of
-from rewardmill.operators.running import running_sum
+from rewardmill.operators.running import first_of_groups, running_sum
 
 NON_ZERO_SHARE = 1 - 1 / math.e
 BIG_ROWS, BIG_FILES = 1_000_000, 100
@@ -39,24 +39,24 @@ def adjusted_sample(sample: float, min_rows: int | None, rows: int) -> float:
     return max(sample, min((min_rows or 0) / rows, 1.0)) if rows else 1.0
 
 
-def sample_files(manifest: DataFrame, fraction: float, rows: int, files: int, seed: int) -> DataFrame:
+def sample_files(
+    manifest: DataFrame, fraction: float, rows: int, files: int, seed: int = 0, uniform: Column | None = None
+) -> DataFrame:
     """Whole files by chance where there are many rows and files; else all of them."""
     if fraction < 1 and rows >= BIG_ROWS and files >= BIG_FILES:
-        return manifest.filter(uniform_of(F.col("path"), seed=seed) < fraction)
+        return manifest.filter((uniform_of(F.col("path"), seed=seed) if uniform is None else uniform) < fraction)
     return manifest
 
 
 def exact_sample(rows: DataFrame, group: list[str], order: Column, fraction: float) -> DataFrame:
     """round(fraction * n) rows of every group without replacement, those first in ``order``
-    (halves round to even)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(order))
-    return rows.withColumn("_n", n).withColumn("_r", rank).filter(F.col("_r") <= F.bround(F.col("_n") * fraction)).drop("_n", "_r")
+    (halves round to even). No group is sorted in one task."""
+    return first_of_groups(rows, group, order, F.bround(F.col("_n") * fraction))
 
 
-def sample_context(context: Column, keep: float, key: Column, seed: int) -> Column:
-    """The context, or by chance null."""
-    return F.when(uniform_of(key, seed=seed) < keep, context)
+def sample_context(context: Column, keep: float, uniform: Column) -> Column:
+    """The context, or by chance (where ``uniform`` isn't below ``keep``) null."""
+    return F.when(uniform < keep, context)
 
 
 def is_test(key: Column, share: float = 0.3) -> Column:

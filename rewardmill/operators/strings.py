@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rewardmill.functions import arithmetic, hashing
@@ -47,6 +47,18 @@ def tables(ranked: DataFrame, seed: int) -> DataFrame:
     return cut.select("feature", "hashes", hashing.mask_of_largest(hashing.unsigned_order(largest)).alias("mask"))
 
 
+def tables_of(spark: SparkSession, found: dict) -> DataFrame:
+    """The tables that a model's metadata store, ready for :func:`encode`; ValueError on a
+    table of a feature the model doesn't have."""
+    unknown = set(found["string_tables"]) - set(found.get("feature_names") or found["string_tables"])
+    if unknown:
+        raise ValueError(f"string tables of unknown features: {sorted(unknown)}")
+    rows = [(k, [int(h) for h in v]) for k, v in sorted(found["string_tables"].items())]
+    tabs = spark.createDataFrame(rows, "feature string, hashes array<long>")
+    largest = F.array_max(F.transform("hashes", hashing.unsigned_order))
+    return tabs.withColumn("mask", hashing.mask_of_largest(hashing.unsigned_order(largest)))
+
+
 def lookup(tabs: DataFrame) -> DataFrame:
     """(feature, hash, mask, value, width): one row a table entry, ready to join."""
     size = F.size("hashes")

@@ -47,16 +47,16 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     A line number that an order holds several times is one message, and its largest price
     comes last, so that the last write is the same in both engines.
     """
+    none = lambda **kinds: (F.lit(None).cast(t).alias(c) for c, t in kinds.items())
     decisions = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("decision_id"), F.to_json(F.struct(F.col("o_orderstatus").alias("status"))).alias("item"),
-        F.to_json(F.struct(F.col("o_orderpriority").alias("priority"))).alias("context"), F.lit(None).cast("double").alias("count"),
-        F.lit(None).cast("string").alias("sample"), F.lit(None).cast("string").alias("rewards"), F.lit(0.0).alias("_seq"),
+        F.to_json(F.struct(F.col("o_orderpriority").alias("priority"))).alias("context"),
+        *none(count="double", sample="string", rewards="string"), F.lit(0.0).alias("_seq"), *none(message_id="string", value="string"),
     )
-    lines = table(spark, sf_dir, "lineitem")
-    rewards = lines.select(
-        F.col("l_orderkey").cast("string").alias("decision_id"), *(F.lit(None).cast(t).alias(c) for c, t in (("item", "string"), ("context", "string"), ("count", "double"), ("sample", "string"))),
-        F.concat(F.lit('{"'), F.col("l_linenumber").cast("string"), F.lit('":'), F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"), F.lit("}")).alias("rewards"),
-        F.col("l_extendedprice").alias("_seq"),
+    rewards = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("decision_id"), *none(item="string", context="string", count="double", sample="string", rewards="string"),
+        F.col("l_extendedprice").alias("_seq"), F.col("l_linenumber").cast("string").alias("message_id"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").cast("string").alias("value"),
     )
     return decisions.unionByName(rewards)
 
@@ -119,7 +119,7 @@ FROM message GROUP BY l_orderkey
 """)
 def merge_rewards_json(spark, sf_dir):
     """The united rewards as JSON text with sorted keys, numbers in their own text."""
-    log = decision_log(spark, sf_dir).filter("rewards IS NOT NULL")
+    log = decision_log(spark, sf_dir).filter("message_id IS NOT NULL")
     return merge.merge(log).select("decision_id", "rewards")
 
 
@@ -128,7 +128,7 @@ def merge_idempotent(spark, sf_dir):
     """Merging what is merged with all its input again changes nothing."""
     log = decision_log(spark, sf_dir)
     once = merge.merge(log)
-    return merge.merge_files(once.select(*[c for c in log.columns if c != "_seq"]), log, ["decision_id"]).select("decision_id", "item", "reward")
+    return merge.merge_files(once, log, ["decision_id"]).select("decision_id", "item", "reward")
 
 
 @query("""
@@ -173,7 +173,7 @@ def classify_and_validate(spark, sf_dir):
         .when(k == 7, good_reward).otherwise(good_decision)
     )
     lines = table(spark, sf_dir, "events").select(value.alias("value"), F.col("event_id").alias("_seq"))
-    return records.counts(records.parse(lines, F.lit(1.8e9)))
+    return records.counts(records.parse(lines, 1.8e9))
 
 
 @query("""

@@ -2,59 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rewardmill import schemas
 from rewardmill.config import LayoutConfig
-from rewardmill.functions import ksuid
 from rewardmill.operators import layout, merge
 from rewardmill.sources import partitions
+from rewardmill.streaming.ingest import chunked
 
 
-def current_manifest(spark: SparkSession, table: str) -> DataFrame:
-    return partitions.manifest_of_rows(_rows(spark, table))
+@dataclass
+class Turn:
+    """What one turn did: groups merged, and why others were not."""
 
+    merged: int = 0
+    failed: dict[tuple[str, int], str] = field(default_factory=dict)
 
-def _rows(spark: SparkSession, table: str) -> DataFrame:
-    keys = "model string, yyyy string, mm string, dd string"
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.REWARDED_DECISIONS)
-    return spark.read.schema(f"{schema}, {keys}").parquet(table)
 
+def plan_groups(spark: SparkSession, root: str, config: LayoutConfig) -> dict[tuple[str, int], list[str]]:
+    """(model, group) to the paths to merge, planned from the listing: no row is read."""
+    groups = layout.groom_groups(partitions.manifest(spark, root), config)
+    if config.max_key_bytes is not None:
+        groups = layout.cap_keys(groups, config)
+    return {(r["model"], r["group_no"]): list(r["paths"]) for r in groups.collect()}
 
-def compact_once(spark: SparkSession, table: str, config: LayoutConfig) -> int:
-    """Merge one set of groups, all in a single job keyed by group; returns their number.
 
-    Only file metadata comes to the driver (paths to delete, at most the capped key bytes a
-    model). Inputs are deleted after the outputs are written.
-    """
-    groups = layout.cap_keys(layout.groom_groups(current_manifest(spark, table), config), config).persist()
+def merge_groups(spark: SparkSession, root: str, groups: dict[tuple[str, int], list[str]], config: LayoutConfig) -> None:
+    """Merge groups in a single job keyed by group, reading their files only; inputs are
+    deleted after the outputs are written."""
+    member = [(m, g, p.rpartition("/")[2]) for (m, g), paths in groups.items() for p in paths]
+    paths = [p for some in groups.values() for p in some]
+    rows = partitions.read_files(spark, paths).join(spark.createDataFrame(member, "model string, group_no int, _file string"), "_file")
+    merged = merge.merge(rows.withColumn("_seq", F.struct("_file", "_row")), ["model", "group_no", "decision_id"])
+    cut, chunk = chunked(merged.persist(), ["model", "group_no"], config.max_rows)
     try:
-        paths = [p for r in groups.select("paths").collect() for p in r["paths"]]
-        if not paths:
-            return 0
-        number = groups.count()
-        member = groups.select("model", "group_no", F.explode("paths").alias("_path"))
-        rows = _rows(spark, table).withColumn("_path", F.col("_metadata.file_path")).withColumn(
-            "_seq", F.struct(F.col("_metadata.file_path").alias("p"), F.col("_metadata.row_index").alias("i"))
-        )
-        chosen = rows.join(member, ["model", "_path"])
-        merged = merge.merge(chosen, ["model", "group_no", "decision_id"])
-        time = ksuid.iso_basic(F.col("decision_id"))
-        levels = layout.split_levels(merged, ["model", "group_no"], time, config.max_rows)
-        cut = merged.join(levels.select("model", "group_no", "level"), ["model", "group_no"])
-        chunk = F.concat_ws("/", F.col("group_no").cast("string"), layout.chunk_of(time, F.col("level")))
-        new = cut.select("model", *schemas.COLUMNS, chunk.alias("_group_chunk"))
-        partitions.replace_files(spark, new, table, paths, F.col("_group_chunk"))
-        return number
+        partitions.replace_files(spark, cut.select("model", *schemas.COLUMNS, chunk.alias("_c")), root, paths, F.col("_c"))
     finally:
-        groups.unpersist()
+        merged.unpersist()
+
+
+def compact_once(spark: SparkSession, root: str, config: LayoutConfig, now: Column | float) -> Turn:
+    """One turn over all groups. A group that fails doesn't stop the others: unsound files
+    are moved aside and their groups wait for the next turn; if the common job fails, groups
+    are merged one by one and those that fail again stay as they were."""
+    groups, turn = plan_groups(spark, root, config), Turn()
+    if not groups:
+        return turn
+    try:
+        bad = {p.rpartition("/")[2]: p for p in partitions.unsound_files(spark, [p for g in groups.values() for p in g], now)}
+    except Exception as error:  # noqa: BLE001 - an unreadable file is found again, group by group
+        print(f"compaction looks at groups one by one: {str(error).splitlines()[0]}")
+        bad = {}
+    for key in [k for k, paths in groups.items() if any(p.rpartition("/")[2] in bad for p in paths)]:
+        groups.pop(key)
+        turn.failed[key] = "unsound file"
+    partitions.quarantine(spark, root, list(bad.values()))
+    if not groups:
+        return turn
+    try:
+        merge_groups(spark, root, groups, config)
+        turn.merged = len(groups)
+    except Exception:  # noqa: BLE001 - whatever it was, it concerns some group
+        for key, paths in groups.items():
+            try:
+                merge_groups(spark, root, {key: paths}, config)
+                turn.merged += 1
+            except Exception as error:  # noqa: BLE001
+                turn.failed[key] = str(error).splitlines()[0]
+    return turn
+
+
+def compact(spark: SparkSession, root: str, config: LayoutConfig = LayoutConfig(), now: Column | float | None = None) -> list[Turn]:
+    """Repeat until a turn neither merges nor moves anything, at most ``max_groom_iterations``
+    times; returns the turns. Overlaps that remain then are for the next run."""
+    now = F.unix_timestamp() if now is None else now
+    turns = []
+    for _ in range(config.max_groom_iterations):
+        turn = compact_once(spark, root, config, now)
+        if not turn.merged and "unsound file" not in turn.failed.values():
+            break
+        turns.append(turn)
+    return turns
 
 
-def compact(spark: SparkSession, table: str, config: LayoutConfig = LayoutConfig()) -> int:
-    """Repeat until nothing is left to merge, at most ``max_groom_iterations`` times; returns
-    the rounds that merged something. Overlaps that remain then are for the next run."""
-    for turn in range(config.max_groom_iterations):
-        if not compact_once(spark, table, config):
-            return turn
-    return config.max_groom_iterations
+def overlapping(spark: SparkSession, root: str) -> DataFrame:
+    """Files that still overlap their neighbour in time."""
+    return layout.overlaps(partitions.manifest(spark, root), ["model"])

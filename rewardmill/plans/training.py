@@ -36,9 +36,9 @@ def load(spark: SparkSession, manifest: DataFrame, config: TrainConfig, max_rows
     return rows.drop("_file").withColumn("reward", F.coalesce("reward", F.lit(0.0)))
 
 
-def _with_time(long: DataFrame) -> DataFrame:
-    """The decision's time is a feature of its own, ``t``."""
-    t = long.select("decision_id", "y", "w", "t").distinct().select(
+def _with_time(long: DataFrame, rows: DataFrame) -> DataFrame:
+    """The decision's time is a feature of its own, ``t``, also of rows without another."""
+    t = rows.select("decision_id", "y", "w", "t").distinct().select(
         "*", F.lit("t").alias("feature"), F.col("t").cast("double").alias("num"), F.lit(None).cast("string").alias("str")
     )
     return long.unionByName(t)
@@ -49,14 +49,14 @@ def train_propensity(decisions: DataFrame, config: TrainConfig, trees: int | Non
     mean_count = decisions.agg(F.avg("count")).first()[0] or 1.0
     # expanded rows are kept: every flattening level reads them, and ids are decoded once
     rows = training.checked(training.expand(decisions)).persist()
-    long = _with_time(training.features(rows, config.max_json_depth)).persist()
+    long = _with_time(training.features(rows, config.max_json_depth), rows).persist()
     try:
         names = [r["feature"] for r in training.select_features(long, config.max_features).collect()]
         kept = long.filter(F.col("feature").isin(names))
         ranked = strings.ranked_strings(strings.string_stats(kept), 0.0, 0.0, config.prune_min_string_count, config.max_strings_per_feature)
         tabs = strings.tables(ranked, config.seed).persist()
         coded = strings.encode(kept, tabs, config.seed)
-        matrix = training.dense(coded, ["decision_id", "y", "w"], names).withColumn("is_test", scan.is_test(F.col("decision_id"), config.test_split))
+        matrix = training.dense(coded, ["decision_id", "y", "w"], names, rows).withColumn("is_test", scan.is_test(F.col("decision_id"), config.test_split))
         model = models.fit_propensity(matrix.persist(), config, trees)
         return model, sorted(names), tabs, mean_count
     finally:
@@ -71,16 +71,14 @@ def train_decision(decisions: DataFrame, propensity_model, names: list[str], tab
     rows = decisions.withColumn("reward", reward)
     stats = rows.agg(F.avg("reward").alias("mean"), F.stddev_samp("reward").alias("std")).first()
     chosen = training.expand(rows).filter("y = 1").persist()
-    scored = models.propensity(
-        propensity_model, training.dense(strings.encode(_with_time(training.features(chosen, config.max_json_depth)), tabs, config.seed), ["decision_id", "y", "w"], names)
-    ).select("decision_id", "propensity")
+    coded = strings.encode(_with_time(training.features(chosen, config.max_json_depth), chosen), tabs, config.seed)
+    matrix = training.dense(coded, ["decision_id", "y", "w"], names, chosen)
+    scored = models.propensity(propensity_model, matrix).select("decision_id", "propensity")
     ident, seed = F.col("decision_id"), config.seed
-    boot = arithmetic.bootstrap_weight(arithmetic.uniform_of(ident, F.lit("boot"), seed=seed)) if config.explore else F.lit(1.0)
-    target = arithmetic.standardised(F.col("reward"), F.lit(stats["mean"]), F.lit(stats["std"])) if config.normalize_rewards else F.col("reward")
-    weighted = rows.join(scored, "decision_id").select(
-        "decision_id", "item", scan.sample_context(F.col("context"), config.context_keep, ident, seed).alias("context"),
-        target.alias("y"), (arithmetic.inverse_propensity(F.col("propensity"), mean_count, config.clip_min_propensity) * boot).alias("w"),
-    ).persist()
+    uniforms = {k: arithmetic.uniform_of(ident, F.lit(k), seed=seed) for k in ("boot", "context")}
+    weighted = training.decision_rows(
+        rows.join(scored, "decision_id"), stats["mean"], stats["std"], mean_count, uniforms, config
+    ).persist()
     keys, own = ["decision_id", "y", "w"], [n for n in names if n != "t"]
     long = json.flatten(weighted, {"context": "context", "item": "item"}, keys, config.max_json_depth).filter(F.col("feature").isin(own)).persist()
     try:
@@ -89,7 +87,7 @@ def train_decision(decisions: DataFrame, propensity_model, names: list[str], tab
         own_tabs = strings.tables(ranked, seed).persist()
         noise = arithmetic.uniform_of(ident, F.lit("noise"), seed=seed)
         coded = strings.encode(long, own_tabs, seed, noise)
-        model = models.fit_decision(training.dense(coded, keys, own).persist(), config, trees)
+        model = models.fit_decision(training.dense(coded, keys, own, weighted).persist(), config, trees)
         return model, sorted(own), own_tabs
     finally:
         for kept in (long, weighted, chosen):
@@ -101,12 +99,7 @@ def train(spark: SparkSession, decisions: DataFrame, model_name: str, path: str,
     stored = models.load_if_fresh(spark, f"{path}/propensity", config, now)
     if stored is not None:
         model, found = stored
-        rows = [(k, list(v)) for k, v in found["string_tables"].items()]
-        tabs = spark.createDataFrame(rows, "feature string, hashes array<long>")
-        from rewardmill.functions import hashing
-
-        largest = F.array_max(F.transform("hashes", hashing.unsigned_order))
-        tabs = tabs.withColumn("mask", hashing.mask_of_largest(hashing.unsigned_order(largest)))
+        tabs = strings.tables_of(spark, found)
         names, mean_count = found["feature_names"], found["mean_item_count"]
     else:
         model, names, tabs, mean_count = train_propensity(decisions, config, trees)

@@ -1,52 +1,73 @@
-"""Rewarded-decision partitions: scans with row validation, manifests, sinks, replacement."""
+"""Rewarded-decision partitions: files whose names say what they hold.
+
+A file lies under ``rewarded_decisions/{model}/parquet/yyyy/mm/dd/`` (the day of its largest
+id) and is named ``{max time}-{min time}-{rows}-{36 characters}.parquet``. So a listing is
+the manifest: planning reads no row. Files are written aside, then named and moved into
+place; inputs go only after that.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rewardmill import schemas
 from rewardmill.functions import ksuid, names
 
+_KEY = r".*/(rewarded_decisions/[^/]+/parquet/[0-9]{4}/[0-9]{2}/[0-9]{2}/[^/]+)$"
 
-def read_partitions(spark: SparkSession, paths, now: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows of sound files, unsound files with their bad-row counts).
 
-    One invalid decision_id makes its whole file unsound; only the named columns are read.
-    """
-    rows = spark.read.schema(schemas.REWARDED_DECISIONS).parquet(*([paths] if isinstance(paths, str) else paths))
-    rows = rows.withColumn("_path", F.col("_metadata.file_path"))
-    bad = rows.filter(~ksuid.is_valid(F.col("decision_id"), now)).groupBy("_path").agg(F.count(F.lit(1)).alias("bad_rows"))
-    return rows.join(bad.select("_path"), "_path", "left_anti").drop("_path"), bad
+class UnsoundFiles(ValueError):
+    """Files that held an invalid decision_id; they have been moved aside."""
 
+    def __init__(self, paths: Sequence[str]):
+        super().__init__(f"unsound files moved aside: {sorted(paths)}")
+        self.paths = list(paths)
 
-def quarantine(spark: SparkSession, bad: DataFrame, target: str) -> None:
-    """Write copies of unsound files' rows under ``target``, by file."""
-    paths = [r["_path"] for r in bad.select("_path").collect()]  # files, not rows
-    if paths:
-        spark.read.schema(schemas.REWARDED_DECISIONS).parquet(*paths).withColumn(
-            "source_file", F.col("_metadata.file_path")
-        ).write.mode("append").parquet(target)
 
+# ------------------------------------------------------------------------- file system
 
-def read_safely(spark: SparkSession, paths, columns: list[str] | None = None) -> DataFrame:
-    """Rows of those files that can be read; unreadable and missing ones give none."""
-    wanted = [f for f in schemas.REWARDED_DECISIONS if columns is None or f.name in columns]
-    reader = (
-        spark.read.schema(type(schemas.REWARDED_DECISIONS)(wanted))
-        .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    )
-    return reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
+def _files(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file; what lies at the target, the same write tried before, gives way."""
+    src, fs = _files(spark, source)
+    dst, _ = _files(spark, target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; raises if it is still there afterwards."""
+    p, fs = _files(spark, path)
+    if not fs.delete(p, True) and fs.exists(p):
+        raise OSError(f"could not delete {path}")
 
-def skipped_files(manifest: DataFrame, rows: DataFrame) -> DataFrame:
-    """Files of the manifest of which a scan returned no row."""
-    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return manifest.join(read, "path", "left_anti")
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _files(spark, path)
+    return fs.exists(p)
+
+
+# ---------------------------------------------------------------------- lists, manifests
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, bytes) of all parquet files under ``root``, through Spark's own listing."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], "path string, bytes long")
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet").load(root)
@@ -54,6 +75,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def key_of(path: Column) -> Column:
+    """The part of a path from ``rewarded_decisions`` on; "" where it isn't a partition's."""
+    return F.regexp_extract(path, _KEY, 1)
+
+
 def list_keys(keys: DataFrame, prefix: str = "", start_after: str = "") -> DataFrame:
     """Keys with a prefix that sort after ``start_after``."""
     if not isinstance(prefix, str) or not isinstance(start_after, str):
@@ -73,18 +99,96 @@ def manifest_of_names(keys: DataFrame, model: Column) -> DataFrame:
     return keys.select(model.alias("model"), "path", *(facts[c].alias(c) for c in ("min_ts", "max_ts", "row_count")))
 
 
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Manifest of the partition table at ``root``, from its listing alone."""
+    key = key_of(F.col("path"))
+    files = list_files(spark, f"{root.rstrip('/')}/rewarded_decisions").filter(names.is_partition_key(key))
+    return manifest_of_names(files, F.split(key, "/")[1])
+
+
 def newest_first(manifest: DataFrame) -> DataFrame:
     return manifest.filter(F.col("path").endswith(".parquet")).orderBy(F.desc("path"))
 
 
-def with_row_counts(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
-    """Row counts from names, else counted from the files' footers, else 0."""
-    named = files.withColumn("_n", names.file_facts(F.col("path"))["row_count"])
+def with_row_counts(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Row counts from names; only files whose names tell none are opened (unreadable: 0)."""
+    named = files.withColumn("row_count", names.file_facts(F.col("path"))["row_count"])
+    unnamed = [r["path"] for r in named.filter("row_count IS NULL").select("path").collect()]  # paths, not rows
+    if not unnamed:
+        return named
     counted = (
-        spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").schema("decision_id string")
-        .parquet(root).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("_counted"))
+        spark.read.option("ignoreCorruptFiles", "true").schema("decision_id string").parquet(*unnamed)
+        .groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_counted"))
+    )
+    return (
+        named.withColumn("_name", file_name(F.col("path"))).join(counted, "_name", "left")
+        .withColumn("row_count", F.coalesce("row_count", "_counted", F.lit(0))).drop("_name", "_counted")
+    )
+
+
+def file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+# ------------------------------------------------------------------------------ reading
+
+
+def _list(paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def read_files(spark: SparkSession, paths) -> DataFrame:
+    """Rows of these files only, with ``_file`` (their name) and ``_row`` (place in it)."""
+    rows = spark.read.schema(schemas.REWARDED_DECISIONS).parquet(*_list(paths))
+    return rows.select(*schemas.COLUMNS, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def unsound_files(spark: SparkSession, paths, now: Column | float) -> list[str]:
+    """Those of the files that hold an invalid decision_id; only that column is read."""
+    rows = spark.read.schema("decision_id string").parquet(*_list(paths))
+    bad = rows.filter(~ksuid.is_valid(F.col("decision_id"), now)).select(F.col("_metadata.file_path").alias("p")).distinct()
+    return sorted(r["p"] for r in bad.collect())  # files, not rows
+
+
+def quarantine(spark: SparkSession, root: str, paths: Sequence[str]) -> list[str]:
+    """Move files to ``unrecoverable`` beside the table, by their keys; returns where to."""
+    moved = []
+    for p in paths:
+        at = p.rfind("rewarded_decisions/")
+        target = f"{root.rstrip('/')}/unrecoverable/{p[at:] if at >= 0 else p.rpartition('/')[2]}"
+        move(spark, p, target)
+        moved.append(target)
+    return moved
+
+
+def read_sound(spark: SparkSession, root: str, paths, now: Column | float) -> DataFrame:
+    """Rows of files that are all sound. One invalid decision_id makes its whole file
+    unsound: such files are moved aside and the read stops with :class:`UnsoundFiles`."""
+    bad = unsound_files(spark, paths, now)
+    if bad:
+        quarantine(spark, root, bad)
+        raise UnsoundFiles(bad)
+    return read_files(spark, paths)
+
+
+def read_safely(spark: SparkSession, paths, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows of those files that can be read; unreadable and missing ones give none. Anything
+    else that fails (a store that can't be reached, say) still fails the job."""
+    wanted = [f for f in schemas.REWARDED_DECISIONS if columns is None or f.name in columns]
+    reader = (
+        spark.read.schema(type(schemas.REWARDED_DECISIONS)(wanted))
+        .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     )
-    return named.join(counted, "path", "left").withColumn("row_count", F.coalesce("_n", "_counted", F.lit(0))).drop("_n", "_counted")
+    return reader.parquet(*_list(paths))
+
+
+def skipped_files(manifest: DataFrame, rows: DataFrame) -> DataFrame:
+    """Files of the manifest of which a scan returned no row."""
+    read = rows.select(F.col("_metadata.file_name").alias("_name")).distinct()
+    return manifest.withColumn("_name", file_name(F.col("path"))).join(read, "_name", "left_anti").drop("_name")
+
+
+# ------------------------------------------------------------------------------ writing
 
 
 def time_parts(decision_id: Column) -> dict[str, Column]:
@@ -93,37 +197,47 @@ def time_parts(decision_id: Column) -> dict[str, Column]:
     return {"yyyy": F.substring(day, 1, 4), "mm": F.substring(day, 5, 2), "dd": F.substring(day, 7, 2)}
 
 
-def write_partitions(rows: DataFrame, path: str, chunk: Column, mode: str = "append") -> None:
-    """Sorted parquet by model and day: rows of a chunk come together and in id order.
+def partition_key(model: Column, low: Column, high: Column, n: Column, suffix: Column) -> Column:
+    """Key of a file of ``n`` rows from id ``low`` to id ``high``."""
+    part = time_parts(high)
+    name = F.concat_ws("-", ksuid.iso_basic(high), ksuid.iso_basic(low), n.cast("string"), suffix)
+    return F.concat_ws("/", F.lit("rewarded_decisions"), model, F.lit("parquet"), part["yyyy"], part["mm"], part["dd"], F.concat(name, F.lit(".parquet")))
+
 
-    The chunk spreads a hot model over tasks; parquet statistics on the sorted ids serve
-    time-range scans.
+def write_partitions(rows: DataFrame, root: str, chunk: Column, tag: str = "") -> list[str]:
+    """Write one file a model and chunk, sorted by id; returns the files' paths.
+
+    A chunk is one task's work and one file: :func:`rewardmill.operators.layout.split_levels`
+    bounds its rows. The driver handles file names only. With a ``tag`` (a batch's number,
+    say) names repeat when the same write is tried again, so that nothing doubles.
     """
-    parts = time_parts(F.col("decision_id"))
+    spark = rows.sparkSession
+    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
     (
-        rows.withColumns({**parts, "_chunk": chunk})
-        .repartition("model", "yyyy", "mm", "dd", "_chunk")
-        .sortWithinPartitions("model", "yyyy", "mm", "dd", "decision_id")
-        .select("model", "yyyy", "mm", "dd", *schemas.COLUMNS)
-        .write.option("compression", "zstd").mode(mode)
-        .partitionBy("model", "yyyy", "mm", "dd").parquet(path)
+        rows.withColumn("_chunk", F.md5(F.coalesce(chunk.cast("string"), F.lit(""))))
+        .repartition("model", "_chunk").sortWithinPartitions("model", "_chunk", "decision_id")
+        .select("model", "_chunk", *schemas.COLUMNS)
+        .write.option("compression", "zstd").partitionBy("model", "_chunk").parquet(staging)
     )
-
-
-def manifest_of_rows(rows: DataFrame) -> DataFrame:
-    """Manifest of files just written, from their rows."""
-    return rows.groupBy("model", F.col("_metadata.file_path").alias("path")).agg(
-        ksuid.iso_basic(F.min("decision_id")).alias("min_ts"),
-        ksuid.iso_basic(F.max("decision_id")).alias("max_ts"),
-        F.count(F.lit(1)).alias("row_count"),
+    written = spark.read.schema("decision_id string, model string, _chunk string").parquet(staging)
+    facts = written.groupBy("model", F.col("_metadata.file_path").alias("path")).agg(
+        F.min("decision_id").alias("low"), F.max("decision_id").alias("high"), F.count(F.lit(1)).alias("n")
     )
-
-
-def replace_files(spark: SparkSession, new_rows: DataFrame, table: str, old_paths: list[str], chunk: Column) -> None:
+    digest = F.md5(F.concat_ws(":", F.lit(tag or uuid.uuid4().hex), "model", "low", "high", F.col("n").cast("string")))
+    dashed = F.concat_ws("-", *(F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    keyed = facts.select("path", partition_key(F.col("model"), F.col("low"), F.col("high"), F.col("n"), dashed).alias("key"))
+    out = []
+    for r in keyed.collect():  # one row a file
+        out.append(f"{root.rstrip('/')}/{r['key']}")
+        move(spark, r["path"], out[-1])
+    remove(spark, staging)
+    return out
+
+
+def replace_files(spark: SparkSession, new_rows: DataFrame, root: str, old_paths: Sequence[str], chunk: Column) -> list[str]:
     """Write first, delete after: on a failure the inputs are still all there, and rewards
     merged twice are the same as merged once."""
-    write_partitions(new_rows, table, chunk)
-    jvm = spark.sparkContext._jvm
+    new = write_partitions(new_rows, root, chunk)
     for p in old_paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+        remove(spark, p)
+    return new

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
-    """(value, _seq) of text files; gzip is read as it is, order within a file is kept."""
+    """(value, _seq) of text files; gzip is read as it is, order within a file is kept.
+
+    ``_seq`` is for one pass over the lines: what must be the same again is written first.
+    """
     return spark.read.text(path).withColumn("_seq", F.monotonically_increasing_id())
 
 

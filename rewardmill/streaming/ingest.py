@@ -6,17 +6,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rewardmill.operators import merge, records
+from rewardmill import schemas
+from rewardmill.config import LayoutConfig
+from rewardmill.functions import ksuid
+from rewardmill.operators import layout, merge, records
+from rewardmill.sources import partitions
+
+
+def chunked(merged: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, Column]:
+    """``merged`` and the chunk of each row: as much of its id's time as keeps chunks small."""
+    time = ksuid.iso_basic(F.col("decision_id"))
+    levels = layout.split_levels(merged, keys, time, max_rows)
+    return merged.join(levels.select(*keys, "level"), keys), F.concat_ws("/", *keys, layout.chunk_of(time, F.col("level")))
 
 
 def ingest(
-    lines: DataFrame, table: str, checkpoint: str, now: Column, available_now: bool = True,
+    lines: DataFrame, root: str, checkpoint: str, now: Column | float, available_now: bool = True,
+    config: LayoutConfig = LayoutConfig(),
 ) -> StreamingQuery:
-    """Parse, validate and merge every micro-batch into ``table`` (rejects beside it).
+    """Parse, validate and merge every micro-batch into the partition table at ``root``
+    (rejects beside it).
 
     No watermark: a reward may come any time after its decision, so a batch only merges
-    within itself and later reads or compactions unite its rows with others. A batch
-    writes to a folder of its own number, so a replay replaces it: exactly once.
+    within itself and later reads or compactions unite its rows with others. Names of a
+    batch's files repeat when it is replayed, and its rejects have a folder of its number:
+    exactly once.
     """
 
     def batch(df: DataFrame, number: int) -> None:
@@ -24,8 +38,10 @@ def ingest(
         parsed = records.parse(numbered, now).persist()
         try:
             merged = merge.merge(records.to_rewarded_decisions(parsed), ["model", "decision_id"])
-            merged.write.mode("overwrite").option("compression", "zstd").parquet(f"{table}/rows/batch={number}")
-            records.rejects(parsed).write.mode("overwrite").parquet(f"{table}/rejects/batch={number}")
+            if not merged.isEmpty():
+                rows, chunk = chunked(merged, ["model"], config.max_rows)
+                partitions.write_partitions(rows, root, chunk, tag=f"batch-{number}")
+            records.rejects(parsed).write.mode("overwrite").parquet(f"{root}/rejects/batch={number}")
         finally:
             parsed.unpersist()
 
@@ -33,12 +49,16 @@ def ingest(
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="900 seconds")).start()
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """The table as of now: all batches' rows merged, earlier batches first."""
-    rows = spark.read.parquet(f"{table}/rows")
-    return merge.merge(
-        rows.withColumn("_seq", F.struct("batch", F.xxhash64("item", "context", "rewards").alias("at"))), ["model", "decision_id"]
-    )
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The table as of now: all files' rows merged, in the order of their names, that is of
+    time, and of rows within a file."""
+    files = partitions.manifest(spark, root).select("model", "path").collect()  # names, not rows
+    if not files:
+        empty = spark.createDataFrame([], schemas.REWARDED_DECISIONS)
+        return empty.withColumn("model", F.lit("")).select("model", *schemas.COLUMNS)
+    model = spark.createDataFrame([(r["model"], r["path"].rpartition("/")[2]) for r in files], "model string, _file string")
+    rows = partitions.read_files(spark, [r["path"] for r in files]).join(model, "_file")
+    return merge.merge(rows.withColumn("_seq", F.struct("_file", "_row")), ["model", "decision_id"])
 
 
 def stream_aggregate(events: DataFrame, table: str, checkpoint: str, keys: list[str], value: str) -> StreamingQuery:

@@ -1,11 +1,14 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from rewardmill.config import LayoutConfig
+from rewardmill.functions import ksuid
 from rewardmill.operators import layout, records
+from rewardmill.plans import compaction
+from rewardmill.sources import partitions, tracks
 from rewardmill.streaming import ingest
-from rewardmill.sources import tracks
 
 ID = "0" * 27
 GOOD = {"message_id": ID, "model": "test-model-name-1.0", "item": {"text": "v"}, "context": {"a": 1}, "count": 3, "sample": {"text": "s"}}
@@ -36,6 +39,7 @@ def test_three_states_of_null(spark):
     rows = records.to_rewarded_decisions(parsed).orderBy("_seq").collect()
     assert (rows[0]["item"], rows[0]["context"], rows[0]["sample"]) == ("null", "null", None)
     assert (rows[1]["item"], rows[1]["sample"]) == ("null", "null")
+    assert (rows[2]["message_id"], rows[2]["value"]) == (REWARD["message_id"], "-10")
     assert (rows[2]["item"], rows[2]["rewards"], rows[2]["decision_id"]) == (None, '{"%s":-10}' % REWARD["message_id"], ID)
 
 
@@ -91,19 +95,89 @@ def test_stream_equals_batch_and_late_rewards_join(spark, tmp_path):
     assert spark.read.parquet(f"{table}/rejects").count() == 1
 
 
-def test_compaction_keeps_rewards(spark, tmp_path):
-    from rewardmill.functions import ksuid
-    from rewardmill.plans import compaction
-    from rewardmill.sources import partitions
+SCHEMA = "model string, decision_id string, item string, context string, count double, sample string, rewards string, reward double"
+START, FUTURE = 1_650_000_000, 2_000_000
+
+
+def write_part(spark, table, name, ids, model="m", item=None, tag=""):
+    rows = [(model, ksuid.lower_bound(START + 60 * k) if isinstance(k, int) else k, item, "{}", 2.0, None, f'{{"{name}":1}}', None) for k in ids]
+    return partitions.write_partitions(spark.createDataFrame(rows, SCHEMA), table, F.lit(name), tag)
+
 
+def test_files_say_what_they_hold(spark, tmp_path):
+    table = str(tmp_path / "t")
+    paths = write_part(spark, table, "a", [0, 5]) + write_part(spark, table, "b", range(3), model="n", tag="x")
+    assert write_part(spark, table, "b", range(3), model="n", tag="x") == paths[1:]  # tried again: the same file
+    facts = {r["model"]: r for r in partitions.manifest(spark, table).collect()}
+    assert len(facts) == 2 and (facts["m"]["row_count"], facts["n"]["row_count"]) == (2, 3)
+    assert (facts["m"]["min_ts"], facts["m"]["max_ts"]) == ("20220415T052000Z", "20220415T052500Z")
+    assert paths[0].startswith(f"{table}/rewarded_decisions/m/parquet/2022/04/15/20220415T052500Z-20220415T052000Z-2-")
+    keys = partitions.list_files(spark, table).select(partitions.key_of(F.col("path")).alias("path"))
+    assert partitions.partition_keys(keys, "m").count() == 1 == partitions.list_keys(keys, "rewarded_decisions/n/").count()
+    first, second = [r["path"] for r in partitions.list_keys(keys).collect()]
+    assert [r["path"] for r in partitions.list_keys(keys, start_after=first).collect()] == [second]
+    assert [r["path"] for r in partitions.newest_first(keys).collect()] == [second, first]
+    with pytest.raises(TypeError):
+        partitions.list_keys(keys, start_after=5)
+    assert partitions.manifest(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_row_counts_and_unreadable_files(spark, tmp_path):
+    table = str(tmp_path / "t")
+    paths = write_part(spark, table, "a", range(4))
+    spark.range(3).selectExpr("string(id) AS decision_id").coalesce(1).write.parquet(f"{table}/other")
+    broken = paths[0].replace("-4-", "-9-")
+    with open(broken, "w") as f:
+        f.write("no parquet")
+    files = partitions.list_files(spark, table)
+    counts = sorted(r["row_count"] for r in partitions.with_row_counts(spark, files).collect())
+    assert counts == [3, 4, 9]
+    rows = partitions.read_safely(spark, [paths[0], broken])
+    assert rows.count() == 4 and partitions.read_safely(spark, paths, ["decision_id"]).columns == ["decision_id"]
+    skipped = partitions.skipped_files(partitions.manifest(spark, table), rows).collect()
+    assert [r["path"].rpartition("/")[2] for r in skipped] == [broken.rpartition("/")[2]]
+
+
+def test_unsound_files_are_moved_aside(spark, tmp_path):
+    table = str(tmp_path / "t")
+    good, bad = write_part(spark, table, "a", range(4)), write_part(spark, table, "b", [1, FUTURE])
+    with pytest.raises(partitions.UnsoundFiles):
+        partitions.read_sound(spark, table, good + bad, 1.7e9)
+    assert partitions.read_sound(spark, table, good, 1.7e9).count() == 4
+    assert partitions.manifest(spark, table).count() == 1 == partitions.list_files(spark, f"{table}/unrecoverable").count()
+    assert not partitions.exists(spark, bad[0])
+
+
+def test_compaction_keeps_rewards(spark, tmp_path):
     table = str(tmp_path / "t")
-    start = 1_650_000_000
     for part in range(3):
-        rows = [("m", ksuid.lower_bound(start + 60 * k), '{"a":1}' if part == 0 else None, "{}", 2.0, None, '{"r%d":1}' % part, None) for k in range(20)]
-        df = spark.createDataFrame(rows, "model string, decision_id string, item string, context string, count double, sample string, rewards string, reward double")
-        partitions.write_partitions(df, table, F.lit(part))
-    assert compaction.compact(spark, table, LayoutConfig(max_rows=100)) >= 1
-    after = spark.read.parquet(table)
+        write_part(spark, table, f"r{part}", range(20), item='{"a":1}' if part == 0 else None)
+    turns = compaction.compact(spark, table, LayoutConfig(max_rows=100), 1.7e9)
+    assert [t.merged for t in turns] == [1] and not turns[0].failed
+    after = partitions.read_files(spark, [r["path"] for r in partitions.manifest(spark, table).collect()])
     assert after.count() == 20 and after.agg(F.sum("reward")).first()[0] == 60.0
-    assert after.filter("item IS NULL").isEmpty()
-    assert compaction.compact(spark, table, LayoutConfig(max_rows=100)) == 0
+    assert after.filter("item IS NULL").isEmpty() and compaction.overlapping(spark, table).isEmpty()
+    assert compaction.compact(spark, table, LayoutConfig(max_rows=100), 1.7e9) == []
+    assert ingest.read_table(spark, table).count() == 20
+
+
+def test_a_failing_group_stops_no_other(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for model in ("a", "b", "c"):
+        for part in range(2):
+            write_part(spark, table, f"r{part}", range(5), model=model, item='{"a":1}')
+    write_part(spark, table, "r9", [3, FUTURE], model="a")
+    broken = next(r["path"] for r in partitions.manifest(spark, table).filter("model = 'b'").collect()).removeprefix("file:")
+    with open(broken, "w") as f:
+        f.write("no parquet")
+    turn = compaction.compact_once(spark, table, LayoutConfig(max_rows=100), 1.7e9)
+    assert turn.merged >= 1 and ("b", 0) in turn.failed and partitions.exists(spark, broken)
+    rest = compaction.compact(spark, table, LayoutConfig(max_rows=100), 1.7e9)
+    left = {r["model"]: r["n"] for r in partitions.manifest(spark, table).groupBy("model").agg(F.count("path").alias("n")).collect()}
+    assert left["c"] == 1 and left["b"] == 2 and len(rest) <= 3
+
+
+def test_models_grooming_follows_time(spark):
+    rows = [("05", "06", 4), ("01", "02", 4), ("03", "04", 4)]
+    got = layout.groom_groups(manifest(spark, rows), LayoutConfig(max_rows=8)).collect()
+    assert [r["paths"] for r in got] == [["p001", "p002"]]

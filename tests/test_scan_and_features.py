@@ -25,6 +25,41 @@ def test_sampled_rows(spark):
     assert scan.adjusted_sample(0.5, None, 0) == 1.0
 
 
+def test_samples_and_quantiles_of_one_large_group(spark):
+    rows = spark.range(2_000).select(F.lit(None).cast("string").alias("g"), (F.col("id") * 7919 % 2_003).alias("id"), F.lit("wide").alias("x"))
+    got = scan.exact_sample(rows, ["g"], F.col("id"), 0.25)
+    assert got.columns == rows.columns and sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in rows.collect())[:500]
+    two = rows.withColumn("h", F.col("id") % 2).withColumn("v", F.when(F.col("id") % 5 > 0, F.col("id").cast("double")))
+    expected = {(r["h"], r["p"]) for r in two.groupBy("h").agg(F.percentile("v", 0.3).alias("p")).collect()}
+    from rewardmill.operators.running import quantiles
+
+    assert {(r["h"], r["p"]) for r in quantiles(two, "v", ["h"], {"p": 0.3}).collect()} == expected
+    whole = training.describe(two, "v").first()
+    assert (whole["n"], whole["p50"]) == tuple(two.agg(F.count("v"), F.percentile("v", 0.5)).first())
+
+
+def test_dense_keeps_rows_without_features(spark):
+    long = spark.createDataFrame([(1, "a", 2.0), (2, "z", 1.0)], "id int, feature string, num double")
+    rows = {r["id"]: r["features"] for r in training.dense(long, ["id"], ["b", "a"]).collect()}
+    assert rows[1][0] == 2.0 and math.isnan(rows[1][1]) and all(map(math.isnan, rows[2]))
+    base = spark.createDataFrame([(1,), (3,)], "id int")
+    assert {r["id"] for r in training.dense(long, ["id"], ["a"], base).collect()} == {1, 3}
+
+
+def test_decisions_of_nothing_still_train(spark):
+    rows = spark.createDataFrame([("d1", "{}", "null", 0.5, 1.0), ("d2", "[]", "{}", 0.5, 0.0)], "decision_id string, item string, context string, propensity double, reward double")
+    half = {"boot": F.lit(0.5), "context": F.lit(0.99)}
+    got = training.decision_rows(rows, 0.5, 0.5, 2.0, half, TrainConfig()).orderBy("decision_id").collect()
+    assert [(r["y"], r["w"], r["context"]) for r in got] == [(1.0, 1.0, None), (-1.0, 1.0, None)]
+
+
+def test_tables_of_metadata(spark):
+    found = models.metadata("m", ["a", "b"], {"a": [5, 1]}, 1, datetime(2022, 1, 1), "1")
+    assert strings.tables_of(spark, found).first()["mask"] == 7
+    with pytest.raises(ValueError, match="unknown"):
+        strings.tables_of(spark, {"feature_names": ["b"], "string_tables": {"a": [1]}})
+
+
 def test_train_filter_needs_a_column(spark):
     with pytest.raises(ValueError):
         scan.train_filter(spark.range(1), ["reward"])
