@@ -2,27 +2,26 @@
 
 Texts and templates are reduced to lower-case words of ASCII letters and digits, words to
 64-bit hashes, and these to hashes of ``n``-word shingles. A text is covered by overlapping
-windows: for sizes W = 8, 16, 32 a window of W shingles starts every W/2, so that a run of
-at most W/2 + 1 shingles lies in one of them whole. A template's shingles are cut into
-*segments* of at most 17; a segment belongs to the smallest size that holds it, and one of
-a single shingle to W = 1, whose windows are all shingles.
+windows of ``WINDOW`` = 8 shingles, one every 4, so that any run of five shingles lies in
+one of them whole; and by windows of a single shingle. A template's shingles are cut into
+overlapping *segments* of five (four if it has no more); one of fewer shingles has segments
+of one.
 
 Every window is sketched by ``bands`` MinHash bands of one row each, and so is every
 segment; windows retrieve templates by an equi-join of band values. Nothing is looked up
-before that, no text is left out. A segment of m shingles that stands unaltered in a window
-has Jaccard similarity m / W >= 1/4 with it (m = 2 and W = 8 is the least) and is missed
-with probability at most (3/4)^bands: 4.2e-5 for 35; at W = 1 it is never missed. Where only
-the share ``least`` = 0.8 of a run of shingles is left, similarity is at least 0.2 and the
-miss 4.1e-4; a template of several segments is missed only if all of them are.
+before that, no text is left out. A segment that stands unaltered in a window has Jaccard
+similarity of at least 4/8 with it and is missed with probability at most (1/2)^bands,
+1.5e-5 for 16; with one of its five shingles altered it has 4/9 and is missed with 8.2e-5.
+Windows of one shingle equal their segments, so one band never misses them. A template is
+missed only if all its segments are, and the more it has the less one alteration matters.
 
 What the bands retrieve is decided exactly: the share of the template's distinct shingles
 that the whole document contains must reach ``least``.
 
 Blocks of four shingles are sketched once; windows are minima of neighbouring blocks. Long
-texts are sketched in parts of ``PART`` shingles that overlap by half the largest window.
-Templates, of any number, are one table: below ``SMALL_ROWS`` band rows it is broadcast,
-above that joined by a shuffle; the same holds for the retrieved pairs. Texts never shuffle
-below that bound.
+texts are sketched in parts of ``PART`` shingles that overlap by half a window. Templates, of
+any number, are one table: below ``SMALL_ROWS`` band rows it is broadcast, above that joined
+by a shuffle; the same holds for the retrieved pairs. Texts never shuffle below that bound.
 
 Defined results: null or empty texts match nothing; a template of fewer than ``n`` words is
 one shingle of all its words; a template without words is refused; a text's matches are
@@ -43,8 +42,8 @@ from rewardmill.llm.common import checked_broadcast, materialise
 from rewardmill.llm.notices import NOTICES
 
 BLOCK = 4
-SIZES = (8, 16, 32)
-LONGEST_SEGMENT = SIZES[-1] // 2 + 1
+WINDOW = 2 * BLOCK
+LONGEST_SEGMENT = BLOCK + 1
 PART = 512
 
 
@@ -58,16 +57,19 @@ def template_shingles(words: list[str], n: int) -> list[str]:
 
 
 def segments(shingles: list[str]) -> list[list[str]]:
-    """Even runs of at most ``LONGEST_SEGMENT`` shingles."""
-    parts = -(-len(shingles) // LONGEST_SEGMENT)
-    cuts = [k * len(shingles) // parts for k in range(parts + 1)]
-    return [shingles[a:b] for a, b in zip(cuts, cuts[1:])]
+    """Evenly spread runs of ``LONGEST_SEGMENT`` shingles that cover all; single ones of less
+    than ``BLOCK``."""
+    if len(shingles) < BLOCK:
+        return [[s] for s in shingles]
+    size = min(LONGEST_SEGMENT, len(shingles))
+    parts = -(-len(shingles) // size)
+    starts = [k * (len(shingles) - size) // max(1, parts - 1) for k in range(parts)]
+    return [shingles[a : a + size] for a in starts]
 
 
 def text_words(text: Column) -> Column:
     """Lower-case ASCII words of a text."""
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " "))
-    return F.when(F.length(plain) > 0, F.split(plain, " ")).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), "")
 
 
 def _let(value: Column, use) -> Column:
@@ -94,50 +96,27 @@ def _signature(hashes: Column, bands: int) -> Column:
     )
 
 
-def _neighbours(sketches: Column) -> Column:
-    """Minima of every sketch and the next one."""
-    return F.transform(
-        F.sequence(F.lit(0), F.size(sketches) - 1),
-        lambda k: F.zip_with(
-            F.get(sketches, k), F.coalesce(F.get(sketches, k + 1), F.get(sketches, k)), lambda a, b: F.least(a, b)
-        ),
-    )
-
-
-def _every_second(sketches: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.floor((F.size(sketches) - 1) / 2).cast("int")), lambda k: F.get(sketches, k * 2))
-
-
-def window_values(hashes: Column, bands: int, sizes: tuple[int, ...]) -> Column:
-    """Band values of all windows of the wanted sizes over (not empty) ``hashes``."""
-    single = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(0)))
-    wanted = [s for s in SIZES if s in sizes]
-    if not wanted:
-        return single
+def window_values(hashes: Column, bands: int, single: bool, wide: bool) -> Column:
+    """Band values of all windows over (not empty) ``hashes``."""
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / BLOCK).cast("int")),
         lambda k: _let(F.slice(hashes, k * BLOCK + 1, BLOCK), lambda block: _signature(block, bands)),
     )
 
-    def level(sketches: Column, size: int) -> Column:
-        def windows(own: Column) -> Column:
-            parts = [F.flatten(own)] if size in wanted else []
-            if size < wanted[-1]:
-                parts.append(_let(_every_second(own), lambda blocks_: level(blocks_, 2 * size)))
-            return F.concat(*parts) if len(parts) > 1 else parts[0]
-
-        return _let(_neighbours(sketches), windows)
-
-    values = _let(blocks, lambda b: level(b, SIZES[0]))
-    return F.concat(single, values) if 1 in sizes else values
-
+    def windows(sketches: Column) -> Column:
+        both = lambda k: F.zip_with(
+            F.get(sketches, k), F.coalesce(F.get(sketches, k + 1), F.get(sketches, k)), lambda a, b: F.least(a, b)
+        )
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(sketches) - 1), both))
 
-def size_of(segment: list[str]) -> int:
-    return 1 if len(segment) == 1 else next(s for s in SIZES if len(segment) <= s // 2 + 1)
+    values = [F.transform(hashes, lambda h: F.xxhash64(h, F.lit(0)))] if single else []
+    if wide:
+        values.append(_let(blocks, windows))
+    return F.concat(*values) if len(values) > 1 else values[0]
 
 
 def scan(
-    docs: DataFrame, templates: dict[str, str] | None = None, n: int = 5, bands: int = 35,
+    docs: DataFrame, templates: dict[str, str] | None = None, n: int = 5, bands: int = 16,
     least: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, license, matched, shingles, containment) of every template found in a text."""
@@ -151,24 +130,24 @@ def scan(
     known = spark.createDataFrame(
         [(k, spans[k], shingles[k]) for k in shingles], "license string, span int, shingles array<string>"
     )
-    cut = [(k, spans[k], size_of(s), [x.split() for x in s]) for k in shingles for s in segments(shingles[k])]
-    parts = spark.createDataFrame(cut, "license string, span int, size int, runs array<array<string>>")
+    cut = [(k, spans[k], [x.split() for x in s]) for k in shingles for s in segments(shingles[k])]
+    parts = spark.createDataFrame(cut, "license string, span int, runs array<array<string>>")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     found = None
     for span in sorted(set(spans.values())):
-        sizes = tuple(sorted({size for _, s, size, _ in cut if s == span}))
+        lengths = {len(runs) for _, s, runs in cut if s == span}
+        single, wide = 1 in lengths, max(lengths) > 1
         hashes = F.transform("runs", lambda r: F.xxhash64(*(F.xxhash64(F.get(r, F.lit(k))) for k in range(span))))
-        own = F.when(F.col("size") == 1, F.slice(_signature(hashes, 1), 1, 1)).otherwise(_signature(hashes, bands))
+        own = F.when(F.size("runs") == 1, _signature(hashes, 1)).otherwise(_signature(hashes, bands))
         marks = parts.filter(F.col("span") == span).select("license", F.explode(own).alias("value")).distinct()
-        overlap = SIZES[-1] // 2
+        # explode asks for its array twice unless that is a column: hence the arrays of one
         hashed = texts.select("doc_id", F.explode(F.array(shingle_hashes(text_words(F.col("text")), span))).alias("all"))
-        starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(PART))
+        starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(PART))
         pieces = hashed.filter(F.size("all") > 0).select(
-            "doc_id", F.explode(F.transform(starts, _part(F.col("all"), PART + overlap))).alias("hashes")
+            "doc_id", F.explode(F.transform(starts, _part(F.col("all"), PART + BLOCK))).alias("hashes")
         )
-        # sketched once a part: the inner array is a barrier that keeps explode from asking twice
-        sketched = pieces.select("doc_id", F.explode(F.array(window_values(F.col("hashes"), bands, sizes))).alias("values"))
+        sketched = pieces.select("doc_id", F.explode(F.array(window_values(F.col("hashes"), bands, single, wide))).alias("values"))
         values = sketched.select("doc_id", F.explode("values").alias("value"))
         hits = values.join(checked_broadcast(marks), "value").select("doc_id", "license")
         found = hits if found is None else found.unionByName(hits)
