@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import materialise, ship
+from rewardmill.llm.common import give_back, materialise, ship, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 
@@ -55,6 +55,8 @@ _OPENING = "\"'([{<"
 _WHITE = re.compile(r"\s")
 #: Characters of a token that its pattern keeps, from its end.
 TOKEN_TAIL = 40
+#: Documents whose counts a worker holds at once.
+BATCH_DOCS = 2_000
 
 
 def luhn(digits: str) -> bool:
@@ -186,7 +188,7 @@ def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
     """(pattern, instance, seed) with counts: who stands behind which pattern, pre-aggregated."""
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole, BATCH_DOCS)):
             seen: dict[tuple[str, str, int], int] = {}
             for text in pdf["text"]:
                 if not text:
@@ -202,6 +204,7 @@ def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
                 yield pd.DataFrame(
                     [(*k, n) for k, n in seen.items()], columns=["pattern", "instance", "seed", "n"]
                 )
+        give_back()
 
     return (
         docs.select(F.col(text_col).alias("text"))
@@ -236,7 +239,7 @@ def _totals(docs: DataFrame, candidates: DataFrame, n: int, text_col: str) -> Da
         return bool(bitmap[at >> 3] >> (at & 7) & 1)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole, BATCH_DOCS)):
             n: dict[str, int] = {}
             known: dict[str, bool] = {}
             for text in pdf["text"]:
@@ -249,6 +252,7 @@ def _totals(docs: DataFrame, candidates: DataFrame, n: int, text_col: str) -> Da
                             if two and (two in n or maybe(two)):
                                 n[two] = n.get(two, 0) + 1
             yield pd.DataFrame(list(n.items()), columns=["pattern", "total"])
+        give_back()
 
     counted = (
         docs.select(F.col(text_col).alias("text")).mapInPandas(run, "pattern string, total long")
@@ -331,7 +335,7 @@ def extract(docs: DataFrame, patterns: dict[str, float], id_col: str = "doc_id",
     counts = ", ".join(f"n_{k} long" for k in BASE_KINDS)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole, BATCH_DOCS)):
             out = []
             for doc, text in zip(pdf["id"], pdf["text"]):
                 base, more = find_spans(text, patterns)
@@ -342,6 +346,7 @@ def extract(docs: DataFrame, patterns: dict[str, float], id_col: str = "doc_id",
             frame = pd.DataFrame(out, columns=["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_context"])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
         run, f"doc_id long, {counts}, base_sha256 string, spans string, n_context long"
