@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 
 from rewardmill.llm.common import materialise, ship, shuffle_partitions
 
-SHARD_ROWS = 16_384
+SHARD_ROWS = 8_192
 #: Rows of a shard between two rises of the threshold; the first time sooner.
-FIRST_STEP, BLOCK_STEP = 1_024, 8_192
+FIRST_STEP, BLOCK_STEP = 1_024, 4_096
 PROBE_STEP = 8
 
 
