@@ -35,4 +35,4 @@ class TrainConfig:
     binary_rewards: bool = False
     max_checkpoint_age: str = "0 seconds"
     seed: int = 17
-    max_json_depth: int = 12
+    max_json_depth: int = 4  #: levels flattened between looks for deeper ones

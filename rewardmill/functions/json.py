@@ -52,7 +52,7 @@ def rewards_total(entries: Column) -> Column:
     return F.aggregate(entries, F.lit(0.0), lambda s, e: s + F.coalesce(number(e["value"]), F.lit(0.0)))
 
 
-def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth: int = 12) -> DataFrame:
+def flatten(df: DataFrame, sources: dict[str, str], keys: list[str], max_depth: int = 4) -> DataFrame:
     """Long table (keys..., feature, num, str) of JSON text columns.
 
     ``sources`` maps a column to the prefix of its features. Objects and arrays become

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,14 +37,25 @@ def poisson(uniform: Column, terms: int = 20) -> Column:
     return reduce(lambda c, x: F.when(uniform < x[1], float(x[0])).otherwise(c), reversed(cuts), F.lit(float(terms)))
 
 
+def best_actions(sums: DataFrame, action: str) -> DataFrame:
+    """(replica, action): Thompson choices, the action of the largest mean under each replica;
+    of equal ones the last by name; actions without weight are left out."""
+    mean = F.col("weighted") / F.col("weight")
+    known = sums.filter(F.col("weight") > 0)
+    return known.groupBy("replica").agg(F.max_by(action, F.struct(mean, action)).alias("action"))
+
+
 def best_action(sums: DataFrame, action: str, replica: int) -> DataFrame:
-    """Thompson choice: the action of the largest mean under one replica, ties by name."""
-    mean = F.col("weighted") / F.nullif(F.col("weight"), F.lit(0))
-    return sums.filter(F.col("replica") == replica).agg(F.max_by(action, F.struct(mean, action)).alias("action"))
+    """The choice under one replica."""
+    return best_actions(sums.filter(F.col("replica") == replica), action).select("action")
 
 
-def environment(spark: SparkSession, kind: str, interactions: int = 3_000, size: int = 10, seed: int = 1) -> DataFrame:
-    """(interaction, context, action, reward): every action of every interaction.
+def environment(
+    spark: SparkSession, kind: str, interactions: int = 3_000, size: int = 10, seed: int = 1,
+    uniform: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """(interaction, context, action, reward): every action of every interaction, drawn by
+    ``uniform`` of a number and a salt (by default a seeded hash).
 
     ``weekday`` (three greetings, one of which pays only on Sundays; ``weekday_text`` names
     them), ``match`` and ``shuffled_match`` (the action equal to the context, or to its
@@ -51,7 +63,8 @@ def environment(spark: SparkSession, kind: str, interactions: int = 3_000, size:
     and ``feature_pairs`` (two different variants, the larger pays more).
     """
     base = spark.range(interactions).withColumnRenamed("id", "interaction")
-    draw = lambda n, salt: F.floor(uniform_of(F.col("interaction"), F.lit(salt), seed=seed) * n).cast("int")
+    uniform = uniform or (lambda *parts: uniform_of(*parts, seed=seed))
+    draw = lambda n, salt: F.floor(uniform(F.col("interaction"), F.lit(salt)) * n).cast("int")
     if kind in ("weekday", "weekday_text"):
         names = ("Have a great day!", "Have an OK day.", "Happy Sunday!")
         k = F.col("_k")
@@ -63,7 +76,7 @@ def environment(spark: SparkSession, kind: str, interactions: int = 3_000, size:
         rows = base.withColumn("_c", draw(size, 0)).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
         image = F.col("_k")
         if kind == "shuffled_match":
-            order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda x: F.struct(F.xxhash64(F.lit(seed), x).alias("h"), x.alias("x"))))
+            order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda x: F.struct(uniform(x, F.lit(2)).alias("h"), x.alias("x"))))
             image = F.element_at(F.transform(order, lambda s: s["x"]), F.col("_k") + 1)
         reward = (F.col("_c") == image).cast("double")
         shown = (lambda c: _one_hot(c, size)) if kind == "feature_match" else (lambda c: c.cast("string"))

@@ -32,7 +32,7 @@ def checked(rows: DataFrame) -> DataFrame:
     return rows.filter(ok.isNull())
 
 
-def features(rows: DataFrame, max_depth: int = 12) -> DataFrame:
+def features(rows: DataFrame, max_depth: int = 4) -> DataFrame:
     """Long features of training rows: (decision_id, y, w, t, feature, num, str).
 
     A decision's context is flattened for each of its one or two rows: to flatten it once and

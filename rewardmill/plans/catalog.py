@@ -8,16 +8,15 @@ in different orders.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.config import LayoutConfig, TrainConfig
+from rewardmill.config import TrainConfig
 from rewardmill.functions import arithmetic, json, ksuid
-from rewardmill.operators import bandit, layout, merge, models, records, scan, strings, training
+from rewardmill.operators import layout, merge, models, records, scan, strings, training
+from rewardmill.sources.scratch import new_folder
 from rewardmill.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -416,19 +415,6 @@ def string_table_codes(spark, sf_dir):
     return _ranked(spark, sf_dir).select("feature", "str", F.round(arithmetic.code_value(F.col("pos"), F.col("size")), 9).alias("code"))
 
 
-@query()
-def string_encode_join(spark, sf_dir):
-    """All strings encoded by their tables; those outside get their hash's place."""
-    tabs = strings.tables(_ranked(spark, sf_dir), seed=7)
-    return strings.encode(document_features(spark, sf_dir).filter("str IS NOT NULL"), tabs, seed=7).select("doc_id", "feature", "str", "num")
-
-
-@query()
-def xxh3_tables(spark, sf_dir):
-    """Truncated hashes of every string table and its lookup mask."""
-    return strings.tables(_ranked(spark, sf_dir), seed=7)
-
-
 @query("""
 WITH e AS (
   SELECT event_id, value, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 AS noise FROM events)
@@ -482,47 +468,13 @@ def overlap_check(spark, sf_dir):
     return layout.overlaps(files, ["user_id"]).select("user_id", "path", "next_min")
 
 
-@query()
-def groom_groups(spark, sf_dir):
-    """Which daily files of each model to merge for files of up to 50 rows."""
-    groups = layout.cap_keys(layout.groom_groups(manifest(spark, sf_dir), LayoutConfig(max_rows=50)))
-    return groups.select("model", "group_no", F.array_join("paths", ",").alias("paths"), "row_count")
-
-
-# --------------------------------------------------------------- bandits and streaming
-
-
-def _replica_hash(replica: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.col("event_id").cast("string"), replica.cast("string"))), 1, 4), 16, 10).cast("long") % 3
-
-
-@query("""
-WITH r AS (SELECT unnest(range(0, 8)) AS replica),
-w AS (
-  SELECT event_type, CAST(replica AS INTEGER) AS replica, value,
-         CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':' || CAST(replica AS VARCHAR)), 1, 4) AS BIGINT) % 3 AS w
-  FROM events, r)
-SELECT event_type, replica, round(sum(w * value), 4) AS weighted, CAST(sum(w) AS BIGINT) AS weight FROM w GROUP BY event_type, replica
-""")
-def bootstrap_replicas(spark, sf_dir):
-    """Weighted reward sums of every action under eight bootstrap replicas."""
-    sums = bandit.bootstrap(table(spark, sf_dir, "events"), "event_type", "value", _replica_hash, replicas=8)
-    return sums.select("event_type", "replica", F.round("weighted", 4).alias("weighted"), "weight")
-
-
-def _scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="rewardmill-")
-    return os.path.join(base, f"stream-{uuid.uuid4().hex}") if "://" not in base else f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+# ------------------------------------------------------------------ streaming and models
 
 
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
 def stream_ingest(spark, sf_dir):
     """Events read as a stream of files and summed batch by batch: the same as at once."""
-    home = _scratch(spark)
+    home = new_folder(spark, "stream")
     path = f"{sf_dir}/events*.parquet"
     events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
     ingest.stream_aggregate(events, f"{home}/sums", f"{home}/checkpoint", ["event_type"], "value").awaitTermination()
@@ -530,10 +482,11 @@ def stream_ingest(spark, sf_dir):
 
 
 def _model_rows(spark, sf_dir):
-    """Documents as training rows: coded features, label, weight, split."""
+    """Documents as training rows: the selected features coded, label, weight, split."""
     long = document_features(spark, sf_dir)
+    names = [r["feature"] for r in training.select_features(long, TrainConfig().max_features).collect()]
     coded = strings.encode(long, strings.tables(_ranked(spark, sf_dir), seed=7), seed=7)
-    rows = training.dense(coded, ["doc_id", "y", "w"], ["item.lang", "item.source", "item.n_chars"])
+    rows = training.dense(coded, ["doc_id", "y", "w"], names)
     return rows.withColumn("is_test", scan.is_test(F.col("doc_id")))
 
 
@@ -541,8 +494,7 @@ def _model_rows(spark, sf_dir):
 def propensity_score(spark, sf_dir):
     """Probability of the positive label by boosted trees, and the weight it implies."""
     rows = _model_rows(spark, sf_dir).persist()
-    model = models.fit_propensity(rows, TrainConfig(tree_depth=3), trees=5)
-    scored = models.propensity(model, rows)
+    scored = models.propensity(models.fit_propensity(rows, TrainConfig()), rows)
     return scored.select("doc_id", F.round("propensity", 6).alias("propensity"), F.round(arithmetic.inverse_propensity(F.col("propensity"), 1.0), 6).alias("weight"))
 
 
@@ -550,11 +502,5 @@ def propensity_score(spark, sf_dir):
 def decision_model(spark, sf_dir):
     """Expected reward by boosted regression trees under inverse propensity weights."""
     rows = _model_rows(spark, sf_dir).persist()
-    model = models.fit_decision(rows, TrainConfig(tree_depth=3), trees=5)
+    model = models.fit_decision(rows, TrainConfig())
     return models.predict(model, rows).select("doc_id", F.round("prediction", 6).alias("prediction"))
-
-
-@query()
-def synthetic_environment(spark, sf_dir):
-    """A thousand interactions of the permuted matching environment with all their rewards."""
-    return bandit.environment(spark, "shuffled_match", interactions=1_000, size=10, seed=1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rewardmill.config import TrainConfig
 from rewardmill.functions import arithmetic, json
 from rewardmill.operators import models, scan, strings, training
+from rewardmill.sources.scratch import checkpointed
 
 
 def string_tables(tabs: DataFrame) -> dict[str, list[int]]:
@@ -47,21 +48,17 @@ def _with_time(long: DataFrame, rows: DataFrame) -> DataFrame:
 def train_propensity(decisions: DataFrame, config: TrainConfig, trees: int | None = None):
     """(model, feature names, string tables, mean item count) from which item was chosen."""
     mean_count = decisions.agg(F.avg("count")).first()[0] or 1.0
-    # expanded rows are kept: every flattening level reads them, and ids are decoded once
-    rows = training.checked(training.expand(decisions)).persist()
-    long = _with_time(training.features(rows, config.max_json_depth), rows).persist()
-    try:
-        names = [r["feature"] for r in training.select_features(long, config.max_features).collect()]
-        kept = long.filter(F.col("feature").isin(names))
-        ranked = strings.ranked_strings(strings.string_stats(kept), 0.0, 0.0, config.prune_min_string_count, config.max_strings_per_feature)
-        tabs = strings.tables(ranked, config.seed).persist()
-        coded = strings.encode(kept, tabs, config.seed)
-        matrix = training.dense(coded, ["decision_id", "y", "w"], names, rows).withColumn("is_test", scan.is_test(F.col("decision_id"), config.test_split))
-        model = models.fit_propensity(matrix.persist(), config, trees)
-        return model, sorted(names), tabs, mean_count
-    finally:
-        long.unpersist()
-        rows.unpersist()
+    # tables read several times are written: every flattening level reads the expanded rows
+    rows = checkpointed(training.checked(training.expand(decisions)))
+    long = checkpointed(_with_time(training.features(rows, config.max_json_depth), rows))
+    names = [r["feature"] for r in training.select_features(long, config.max_features).collect()]
+    kept = long.filter(F.col("feature").isin(names))
+    ranked = strings.ranked_strings(strings.string_stats(kept), 0.0, 0.0, config.prune_min_string_count, config.max_strings_per_feature)
+    tabs = checkpointed(strings.tables(ranked, config.seed))
+    coded = strings.encode(kept, tabs, config.seed)
+    matrix = training.dense(coded, ["decision_id", "y", "w"], names, rows).withColumn("is_test", scan.is_test(F.col("decision_id"), config.test_split))
+    model = models.fit_propensity(checkpointed(matrix), config, trees)
+    return model, sorted(names), tabs, mean_count
 
 
 def train_decision(decisions: DataFrame, propensity_model, names: list[str], tabs: DataFrame, mean_count: float, config: TrainConfig, trees: int | None = None):
@@ -70,28 +67,26 @@ def train_decision(decisions: DataFrame, propensity_model, names: list[str], tab
     reward = arithmetic.binary_reward(F.col("reward")) if config.binary_rewards else F.col("reward")
     rows = decisions.withColumn("reward", reward)
     stats = rows.agg(F.avg("reward").alias("mean"), F.stddev_samp("reward").alias("std")).first()
-    chosen = training.expand(rows).filter("y = 1").persist()
+    chosen = checkpointed(training.expand(rows).filter("y = 1"))
     coded = strings.encode(_with_time(training.features(chosen, config.max_json_depth), chosen), tabs, config.seed)
     matrix = training.dense(coded, ["decision_id", "y", "w"], names, chosen)
-    scored = models.propensity(propensity_model, matrix).select("decision_id", "propensity")
+    # the model is part of the plan until here; what follows reads its scores
+    scored = checkpointed(models.propensity(propensity_model, matrix).select("decision_id", "propensity"))
     ident, seed = F.col("decision_id"), config.seed
     uniforms = {k: arithmetic.uniform_of(ident, F.lit(k), seed=seed) for k in ("boot", "context")}
-    weighted = training.decision_rows(
-        rows.join(scored, "decision_id"), stats["mean"], stats["std"], mean_count, uniforms, config
-    ).persist()
+    weighted = checkpointed(
+        training.decision_rows(rows.join(scored, "decision_id"), stats["mean"], stats["std"], mean_count, uniforms, config)
+    )
     keys, own = ["decision_id", "y", "w"], [n for n in names if n != "t"]
-    long = json.flatten(weighted, {"context": "context", "item": "item"}, keys, config.max_json_depth).filter(F.col("feature").isin(own)).persist()
-    try:
-        prior = long.agg(F.avg("y")).first()[0] or 0.0
-        ranked = strings.ranked_strings(strings.string_stats(long), prior, config.reward_prior_count, config.prune_min_string_count, config.max_strings_per_feature)
-        own_tabs = strings.tables(ranked, seed).persist()
-        noise = arithmetic.uniform_of(ident, F.lit("noise"), seed=seed)
-        coded = strings.encode(long, own_tabs, seed, noise)
-        model = models.fit_decision(training.dense(coded, keys, own, weighted).persist(), config, trees)
-        return model, sorted(own), own_tabs
-    finally:
-        for kept in (long, weighted, chosen):
-            kept.unpersist()
+    long = json.flatten(weighted, {"context": "context", "item": "item"}, keys, config.max_json_depth)
+    long = checkpointed(long.filter(F.col("feature").isin(own)))
+    prior = long.agg(F.avg("y")).first()[0] or 0.0
+    ranked = strings.ranked_strings(strings.string_stats(long), prior, config.reward_prior_count, config.prune_min_string_count, config.max_strings_per_feature)
+    own_tabs = checkpointed(strings.tables(ranked, seed))
+    noise = arithmetic.uniform_of(ident, F.lit("noise"), seed=seed)
+    coded = strings.encode(long, own_tabs, seed, noise)
+    model = models.fit_decision(checkpointed(training.dense(coded, keys, own, weighted)), config, trees)
+    return model, sorted(own), own_tabs
 
 
 def train(spark: SparkSession, decisions: DataFrame, model_name: str, path: str, config: TrainConfig, now: datetime, trees: int | None = None) -> dict:
