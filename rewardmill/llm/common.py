@@ -90,6 +90,14 @@ def give_back() -> None:
         pass  # not glibc
 
 
+def free_name(columns, wanted: str) -> str:
+    """``wanted``, or with underscores before it, so that no column has that name."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 #: Rows up to which a table of ids, hashes and short names is sent to every executor.
 SMALL_ROWS = 500_000
 

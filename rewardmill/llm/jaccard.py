@@ -24,10 +24,16 @@ one class; everything below runs on classes, so thousands of copies cost one.
 So a group of near copies costs its size, not its square, and no link between different
 texts is lost.
 
+A class is named by 64 bits of its set's digest; where sets of different digests share
+them, their names are mixed from all 128. Rows are told apart by their place in a written
+table, not by id.
+
 Defined results: null text, or no words: empty set, linked with nothing; fewer than
-``n`` words: the whole sequence is one shingle; equal rows and equal texts under any ids
-link; extra columns are ignored; an empty table gives an empty result. Two different
-sets whose first 64 digest bits agree would be taken as one (chance 2^-64 a pair).
+``n`` words: the whole sequence is one shingle; equal rows and equal texts under any ids,
+repeated or null, link; a component has the smallest id of its rows (null if all are null);
+texts are read whole, however long (some 50 bytes a character of the one in hand); ties are
+broken by id, then by place; extra columns are ignored by ``components`` and kept by
+``keep_one``, whatever they are called; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +46,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import connected_components, give_back, materialise, ship, shuffle_partitions, slices
+from rewardmill.llm.common import (
+    checked_broadcast, connected_components, free_name, give_back, materialise, ship, shuffle_partitions, slices,
+)
 
 BATCH_DOCS = 2_000
 HEAVY_IN_BATCH = 8
@@ -96,9 +104,25 @@ def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     return np.unique(_mix(h))
 
 
-def digest(tokens: np.ndarray) -> tuple[int, int]:
+def digest(tokens: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """128 bits of a set in two numbers, the first cut to ``bits``."""
     raw = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+    first = int.from_bytes(raw[:8], "little", signed=True)
+    return first if bits == 64 else first & ((1 << bits) - 1), int.from_bytes(raw[8:], "little", signed=True)
+
+
+class Naming:
+    """Names of sets: the digest's first part, or where several sets share that, all of it."""
+
+    def __init__(self, shared: frozenset[int] = frozenset(), bits: int = 64):
+        self.shared, self.bits = shared, bits
+
+    def __call__(self, tokens: np.ndarray) -> int:
+        first, second = digest(tokens, self.bits)
+        if first not in self.shared:
+            return first
+        raw = hashlib.blake2b(f"{first}:{second}".encode(), digest_size=8).digest()
+        return int.from_bytes(raw, "little", signed=True)
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
@@ -120,24 +144,24 @@ def prefix_size(n: int, percent: int) -> int:
 # ------------------------------------------------------------------ map passes
 
 
-def _describe(docs: DataFrame, n: int) -> DataFrame:
-    """kind 0: (doc_id, size, k1, k2, bits) of documents; kind 1: heavy shingles of a batch."""
+def _describe(docs: DataFrame, n: int, naming: Naming) -> DataFrame:
+    """kind 0: (row, size, k1, k2, bits) of documents; kind 1: heavy shingles of a batch."""
 
     def run(batches):
         for pdf in (part for whole in batches for part in slices(whole, BATCH_DOCS)):
             rows, seen = [], {}
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for row, text in zip(pdf["row"], pdf["text"]):
                 tokens = shingle_set(text, n)
                 if not len(tokens):
-                    rows.append((0, doc, 0, 0, 0, b""))
+                    rows.append((0, row, 0, 0, 0, b""))
                     continue
-                k1, k2 = digest(tokens)
-                first = k1 not in seen
-                seen.setdefault(k1, tokens)
-                rows.append((0, doc, len(tokens), k1, k2, parity_bits(tokens) if first else b""))
+                k1, k2 = naming(tokens), digest(tokens)[1]
+                first = (k1, k2) not in seen
+                seen.setdefault((k1, k2), tokens)
+                rows.append((0, row, len(tokens), k1, k2, parity_bits(tokens) if first else b""))
             if seen:
                 keys = np.repeat(
-                    np.fromiter(seen, np.int64, len(seen)), [len(t) for t in seen.values()]
+                    np.fromiter((k for k, _ in seen), np.int64, len(seen)), [len(t) for t in seen.values()]
                 )
                 tokens = np.concatenate(list(seen.values()))
                 order = np.argsort(tokens, kind="stable")
@@ -148,16 +172,14 @@ def _describe(docs: DataFrame, n: int) -> DataFrame:
                 for k in np.flatnonzero(count >= HEAVY_IN_BATCH):
                     token = int(tokens[at[k]].view(np.int64))
                     rows.append((1, int(low[k]), int(count[k]), token, 0, b""))
-            out = pd.DataFrame(rows, columns=["kind", "doc_id", "size", "k1", "k2", "bits"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["kind", "row", "size", "k1", "k2", "bits"])
         give_back()
 
-    schema = "kind int, doc_id long, size long, k1 long, k2 long, bits binary"
-    return docs.mapInPandas(run, schema)
+    schema = "kind int, row long, size long, k1 long, k2 long, bits binary"
+    return docs.select("row", "text").mapInPandas(run, schema)
 
 
-def _canopies(docs: DataFrame, n: int, percent: int, buckets: int, heavy: list) -> DataFrame:
+def _canopies(docs: DataFrame, n: int, percent: int, buckets: int, heavy: list, naming: Naming) -> DataFrame:
     """Distinct (pivot, member) of all inverted lists over the sets' prefixes."""
     table = np.array([(t, c, p) for t, c, p in heavy], dtype=np.int64).reshape(-1, 3)
     tokens_h = table[:, 0].copy().view(np.uint64)
@@ -174,7 +196,7 @@ def _canopies(docs: DataFrame, n: int, percent: int, buckets: int, heavy: list)
                 tokens = shingle_set(text, n)
                 if not len(tokens):
                     continue
-                key = digest(tokens)[0]
+                key = naming(tokens)
                 if key in seen:
                     continue
                 seen.add(key)
@@ -286,10 +308,12 @@ def _left_pairs(canopies: DataFrame, classes: DataFrame, percent: int, second: b
     """Pairs that a search must decide. First round: of the pivot and of the medoid with all
     (in small canopies, of all with all); second round: of members in different components
     (``component``) of larger canopies."""
-    sizes = canopies.groupBy("pivot").agg(
+    # only canopies of several blocks need their size known: few, and sent to their rows,
+    # so that no canopy has to meet in one place
+    large = canopies.groupBy("pivot").agg(
         F.ceil(F.count(F.lit(1)) / CANOPY_BLOCK).cast("int").alias("_blocks")
-    )
-    rows = canopies.join(sizes, "pivot")
+    ).filter("_blocks > 1")
+    rows = canopies.join(checked_broadcast(large), "pivot", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("member"), F.col("_blocks")).cast("int")
     pairs_of_blocks = F.explode(
         F.transform(
@@ -405,12 +429,11 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return alive.tolist()
 
 
-def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int, naming: Naming) -> DataFrame:
     """The pairs (a, b) of classes that link.
 
     Texts travel, not sets: they are half the bytes. Each is read again from its class's
-    representative and meets its query's block; a text whose set isn't the class's (an id
-    that stands for several texts) is ignored there.
+    first row and meets its query's block.
     """
     per = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_salts", F.ceil(F.col("_n") / QUERY_BLOCK).cast("int")
@@ -424,10 +447,10 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
         F.col("a").alias("member"), F.lit(0).alias("role"),
     )
     wanted = asked.union(queries).join(
-        classes.select(F.col("k1").alias("member"), "doc_id"), "member"
+        classes.select(F.col("k1").alias("member"), "row"), "member"
     )
     dealt = (
-        docs.join(wanted.hint("shuffle_hash"), "doc_id")
+        docs.select("row", "text").join(wanted.hint("shuffle_hash"), "row")
         .select("a", "salt", "role", "member", "text")
         .repartition(shuffle_partitions(docs.sparkSession), "a", "salt")
         .sortWithinPartitions("a", "salt", "role", "member")
@@ -449,8 +472,6 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
                 if role == 0 and query is not None or names and names[-1] == member:
                     continue
                 tokens = shingle_set(text, n)
-                if not len(tokens) or digest(tokens)[0] != member:
-                    continue
                 if role == 0:
                     query = tokens
                 else:
@@ -466,32 +487,36 @@ def _search(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
 # ---------------------------------------------------------------------- operator
 
 
-def components(
-    docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+def classified(docs: DataFrame, n: int, percent: int, key_bits: int = 64) -> DataFrame:
+    """(row, size, k1, component) of ``docs`` (row long, text string, read several times): the
+    set's size, its class and the class's component; null class and component of empty sets."""
     spark = docs.sparkSession
-    ship(spark)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    described = materialise(_describe(docs, n))
+    described = materialise(_describe(docs, n, Naming(bits=key_bits)))
+    shared = (
+        described.filter("kind = 0 AND size > 0").groupBy("k1")
+        .agg(F.min("k2").alias("lo"), F.max("k2").alias("hi")).filter("lo <> hi").select("k1").collect()
+    )  # fmt: skip  # of 64 bits: some 70 in 5 * 10^10 texts
+    naming = Naming(frozenset(r["k1"] for r in shared), key_bits)
+    if shared:
+        described = materialise(_describe(docs, n, naming))
     rows = described.filter("kind = 0")
     classes = materialise(
         rows.filter("size > 0").groupBy("k1")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.max("bits").alias("bits"))
+        .agg(F.min("row").alias("row"), F.max("size").alias("size"), F.max("bits").alias("bits"))
     )
     heavy = (
         described.filter("kind = 1").groupBy("k1")
-        .agg(F.sum("size").alias("c"), F.min("doc_id").alias("p"))
+        .agg(F.sum("size").alias("c"), F.min("row").alias("p"))
         .orderBy(F.desc("c"), "k1").limit(HEAVY_TABLE)
         .collect()
     )  # fmt: skip  # an order's hint of at most HEAVY_TABLE rows; it decides no result
     total = classes.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     buckets = max(shuffle_partitions(spark), int(total // 2_000_000) + 1)
     canopies = materialise(
-        _canopies(docs, n, percent, buckets, [(r["k1"], r["c"], r["p"]) for r in heavy])
+        _canopies(docs, n, percent, buckets, [(r["k1"], r["c"], r["p"]) for r in heavy], naming)
     )
     pairs = materialise(_left_pairs(canopies, classes, percent, second=False))
-    links = materialise(_search(pairs, docs, classes, n, percent))
+    links = materialise(_search(pairs, docs, classes, n, percent, naming))
     joined = materialise(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
     named = canopies.union(canopies.select("pivot", F.col("pivot").alias("member")).distinct()).join(
@@ -502,31 +527,52 @@ def components(
         named.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
         .filter((F.col("lo") != F.col("hi")) & (F.col("n") > SMALL_CANOPY)).select("pivot")
     )
-    again = _left_pairs(
-        named.join(open_pivots, "pivot", "left_semi"), classes, percent, second=True
-    ).join(pairs, ["a", "b"], "left_anti")
-    again = materialise(again)
+    named = materialise(named.join(checked_broadcast(materialise(open_pivots)), "pivot", "left_semi"))
+    again = materialise(_left_pairs(named, classes, percent, second=True).join(pairs, ["a", "b"], "left_anti"))
     if not again.isEmpty():
-        links = links.union(_search(again, docs, classes, n, percent))
+        links = links.union(_search(again, docs, classes, n, percent, naming))
         joined = materialise(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    labels = classes.select("k1", "doc_id").join(
-        joined.withColumnRenamed("node", "k1"), "k1", "left"
-    ).withColumn("component", F.coalesce("component", "k1"))
-    smallest = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_class = labels.join(smallest, "component").select("k1", "component_id")
-    return rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("k1")).alias("k1")).join(
-        by_class, "k1", "left"
-    ).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    # written before it meets the rows: copies are many rows of a key, and only a join of two
+    # plain sides is split where it is skewed
+    labels = materialise(
+        classes.select("k1").join(joined.withColumnRenamed("node", "k1"), "k1", "left").select(
+            "k1", F.coalesce("component", "k1").alias("component")
+        )
+    )
+    own = rows.select("row", "size", F.when(F.col("size") > 0, F.col("k1")).alias("k1"))
+    return own.join(labels, "k1", "left")
 
 
-def keep_one(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one document of every component: the one of the smallest doc_id.
+def components(
+    docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", key_bits: int = 64
+) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+    ship(docs.sparkSession)
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = materialise(docs.withColumn("row", F.monotonically_increasing_id()))
+    found = classified(docs, n, percent, key_bits).join(docs.select("row", "doc_id"), "row")
+    found = materialise(found)
+    smallest = materialise(
+        found.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    )
+    return found.join(smallest, "component", "left").select(
+        "doc_id", F.col("size").alias("n_shingles"),
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
 
-    Rows without an id can't be told apart by one and stay; of rows equal in id and text
-    one stays.
-    """
-    found = materialise(components(docs, n, percent))
-    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti")
-    repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every component: of the smallest id (null ids last), then
+    the first. Rows without words are near duplicates of nothing and stay."""
+    ship(docs.sparkSession)
+    row = free_name(docs.columns, "_row")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    texts = numbered.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    ids = numbered.select(F.col(row).alias("row"), F.col(id_col).alias("id"))
+    found = materialise(classified(texts, n, percent).filter("component IS NOT NULL").join(ids, "row"))
+    kept = materialise(
+        found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("_k"))
+        .select("component", F.col("_k.row").alias("_keep"))
+    )
+    dropped = found.select("component", F.col("row").alias("_r")).join(kept, "component").filter("_r <> _keep").select(F.col("_r").alias(row))
+    return numbered.join(dropped.hint("shuffle_hash"), row, "left_anti").drop(row)
