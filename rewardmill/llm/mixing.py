@@ -19,7 +19,9 @@ Defined results: null or empty text has no tokens; null level values are ``(none
 rows of equal id share a key and are chosen together or not at all; weights absent from
 the table are ``default_weight``, a weight of 0 gets nothing; budgets are whole tokens,
 rounded down at every node; a negative or zero budget or an empty table chooses nothing;
-extra columns are kept.
+texts of any length are counted whole; extra columns are kept, whatever they are called, but
+``mix_<level>``, ``mix_tokens`` and ``mix_epoch`` of the input give way to the results of
+``mix`` (another ``prefix`` avoids that; ``choose`` does so itself).
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import materialise
+from rewardmill.llm.common import SMALL_ROWS, free_name, materialise
 
 WHOLE = "decimal(38,0)"
 KEY_DIGITS = 3
@@ -97,34 +99,37 @@ def leaf_budgets(
 def mix(
     docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], budget: int | None = None,
     budget_share: float = 0.6, max_epochs: int = 2, seed: int = 17, default_weight: int = 1,
-    tokens: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+    tokens: Column | None = None, id_col: str = "doc_id", text_col: str = "text", prefix: str = "mix",
 ) -> DataFrame:
     """Rows of ``docs`` chosen, once for every epoch they are read in (``mix_epoch`` from 0),
-    with their leaf (``mix_<level>``) and ``mix_tokens``.
+    with their leaf (``mix_<level>``) and ``mix_tokens``; ``prefix`` names these columns.
 
     ``budget`` tokens in all, or ``budget_share`` of what the corpus holds.
     """
-    names = [f"mix_{k}" for k in levels]
+    names = [f"{prefix}_{k}" for k in levels]
     count = space_tokens(F.col(text_col)) if tokens is None else tokens
-    own = {f"mix_{k}": F.coalesce(c.cast("string"), F.lit("(none)")) for k, c in levels.items()}
-    base = docs.withColumns({**own, "mix_tokens": count})
-    rows = materialise(base.select(F.col(id_col).cast("string").alias("_id"), *names, F.col("mix_tokens").alias("tokens")))
+    own = {f"{prefix}_{k}": F.coalesce(c.cast("string"), F.lit("(none)")) for k, c in levels.items()}
+    base = docs.withColumns({**own, f"{prefix}_tokens": count})
+    rows = materialise(base.select(F.col(id_col).cast("string").alias("_id"), *names, F.col(f"{prefix}_tokens").alias("tokens")))
     leaves = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
     if budget is None:
         total = leaves.agg(F.sum("tokens")).first()[0] or 0
         budget = int(total * budget_share)
-    named = {f"mix_{k}": v for k, v in weights.items()}
+    named = {f"{prefix}_{k}": v for k, v in weights.items()}
     plan = leaf_budgets(leaves, names, named, budget, max_epochs, default_weight)
     plan = materialise(
         plan.filter("tokens > 0").withColumn("_epochs", F.expr("budget div tokens").cast("int"))
         .withColumn("_rest", F.col("budget") - F.col("_epochs") * F.col("tokens"))
         .select(*names, "_epochs", "_rest")
     )
+    # one row a leaf, sent to the rows where they are; no leaf's rows meet in one place
+    small = plan.count() <= SMALL_ROWS
+    sent = F.broadcast if small else (lambda df: df)
 
-    def key(ident: Column) -> Column:
-        return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_epochs").cast("string"), F.coalesce(ident, F.lit(""))))
+    def key(ident: Column, epochs: str = "_epochs") -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(epochs).cast("string"), F.coalesce(ident, F.lit(""))))
 
-    keyed = rows.join(plan, names).withColumn("_key", key(F.col("_id"))).withColumn(
+    keyed = rows.join(sent(plan), names).withColumn("_key", key(F.col("_id"))).withColumn(
         "_range", F.substring("_key", 1, KEY_DIGITS)
     )
     sums = keyed.groupBy(*names, "_rest", "_range").agg(F.sum("tokens").alias("_sum"))
@@ -137,7 +142,7 @@ def mix(
     )
     within = Window.partitionBy(*names).orderBy("_key")  # equal keys are peers: all or none
     last = (
-        keyed.join(ends, [*names, "_range"])
+        keyed.join(sent(ends), [*names, "_range"])
         .withColumn("_run", F.col("_before") + F.sum("tokens").over(within))
         .filter(F.col("_run") <= F.col("_rest"))
         .groupBy(*names).agg(F.max("_key").alias("_last"))
@@ -149,15 +154,24 @@ def mix(
             F.coalesce("_last", "_range", F.lit("g")).alias("_limit"),
         )
     )
-    chosen = base.join(limits, names).withColumn("_key", key(F.col(id_col).cast("string")))
-    times = F.col("_epochs") + (F.col("_key") <= F.col("_limit")).cast("int")
+    epochs, limit = free_name(base.columns, "_epochs"), free_name(base.columns, "_limit")
+    limits = limits.withColumnsRenamed({"_epochs": epochs, "_limit": limit})
+    times = F.col(epochs) + (key(F.col(id_col).cast("string"), epochs) <= F.col(limit)).cast("int")
     return (
-        chosen.filter(times > 0)
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
-        .drop("_epochs", "_limit", "_key")
+        base.join(sent(limits), names).filter(times > 0)
+        .withColumn(f"{prefix}_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
+        .drop(epochs, limit)
     )
 
 
+def choose(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], budget_share: float, seed: int = 17, **more) -> DataFrame:
+    """The documents that :func:`mix` reads at least once, in their own columns only."""
+    prefix = "mix"
+    while any(c.lower().startswith(f"{prefix}_") for c in docs.columns):
+        prefix = f"_{prefix}"
+    return mix(docs, levels, weights, budget_share=budget_share, max_epochs=1, seed=seed, prefix=prefix, **more).select(*docs.columns)
+
+
 def number_domain(source: Column, names: Sequence[str]) -> Column:
     """Domain of a source: the number in its name, modulo the domains."""
     number = F.coalesce(F.nullif(F.regexp_extract(source, "([0-9]+)", 1), F.lit("")).cast("long"), F.lit(0))
