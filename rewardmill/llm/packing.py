@@ -10,12 +10,14 @@ rank within their length, computed with salted windows, so nothing but the bound
 histogram and plan ever reaches the driver.
 
 Defined results: null or empty text is one end token; a document longer than
-``capacity`` is cut into full pieces and a rest; repeated rows are packed each on their
-own; an empty table gives an empty result; extra columns are ignored.
+``capacity`` is cut into full pieces and a rest, however long it is; repeated rows are packed
+each on their own; pieces of equal length are interchangeable, so ties change no length of a
+sequence; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import pickle
 import random
 import re
@@ -36,9 +38,43 @@ Plan = dict[tuple[int, ...], int]
 
 # ------------------------------------------------------------------ tokenising
 
-_ENCODERS: dict[str, dict] = {}
+_ENCODERS: dict[str, "_Memo"] = {}
 MEMO_CHUNKS = 150_000
 
+#: Settings of a vocabulary whose words can be split here: the parts of its file that say how
+#: text becomes words. Vocabularies with any other settings go through their own tokenizer.
+KNOWN_SETTINGS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+
+def splits_at_spaces(settings: dict) -> bool:
+    """Whether a vocabulary's settings are the known ones, and its added tokens are marked by
+    "<|": then a text's ids are those of its space-separated chunks."""
+    added = settings.get("added_tokens") or []
+    plain = all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] for t in added)
+    return plain and {k: settings.get(k) for k in KNOWN_SETTINGS} == KNOWN_SETTINGS
+
 #: The vocabulary's word pattern, for chunks of printable ASCII and Latin-1 letters only:
 #: there NFC changes nothing and lower-casing goes letter by letter.
 _PLAIN = re.compile("[\x21-\x7e\xc0-\xff]*\\Z").match
@@ -67,6 +103,7 @@ class _Memo(dict):
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        self.by_chunks = splits_at_spaces(json.loads(self.whole.to_str()))
         self.words: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
@@ -97,12 +134,16 @@ class _Memo(dict):
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its space-separated chunks in order; the commonest chunks are remembered.
+    Where the tokenizer drops white space and never joins across it, a text's ids are those
+    of its space-separated chunks in order, and the commonest chunks are remembered; any
+    other vocabulary reads whole texts.
     """
     if path not in _ENCODERS:
         _ENCODERS[path] = _Memo(path)
-    get = _ENCODERS[path].__getitem__
+    memo = _ENCODERS[path]
+    if not memo.by_chunks:
+        return [np.array(memo.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    get = memo.__getitem__
     return [b"".join(map(get, t.replace("\n", " ").split(" "))) for t in texts]
 
 
@@ -332,9 +373,12 @@ def plan_table(plan: Plan) -> dict[str, np.ndarray]:
 
 
 def deal(pieces: DataFrame, plan: Plan, rows: int) -> DataFrame:
-    """Give every piece its sequence and offset: rank within its length meets the plan."""
+    """Give every piece its sequence and offset: rank within its length meets the plan.
+
+    ``_at`` numbers the rows of the written table: copies of a document spread over salts.
+    """
     salts = int(min(4096, max(16, rows // 1_000_000)))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(salts)))
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("length").orderBy("_salt").rowsBetween(
         Window.unboundedPreceding, -1
@@ -342,11 +386,11 @@ def deal(pieces: DataFrame, plan: Plan, rows: int) -> DataFrame:
     offsets = counts.select(
         "length", "_salt", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start", "ids_crc32")
+    inside = Window.partitionBy("length", "_salt").orderBy("_at")
     ranked = (
         salted.withColumn("_row", F.row_number().over(inside) - 1)
         .join(offsets, ["length", "_salt"])
-        .select(*pieces.columns, (F.col("_before") + F.col("_row")).alias("_rank"))
+        .select(*(c for c in pieces.columns if c != "_at"), (F.col("_before") + F.col("_row")).alias("_rank"))
     )
     table = plan_table(plan)
 
@@ -376,7 +420,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents with sequence_id and offset (see module docstring)."""
     spark = docs.sparkSession
-    pieces = materialise(tokenised_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col))
+    cut = tokenised_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col)
+    pieces = materialise(cut.withColumn("_at", F.monotonically_increasing_id()))
     hist = {r["length"]: r["n"] for r in
             pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not hist:
