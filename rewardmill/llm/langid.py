@@ -11,8 +11,12 @@ document, in Arrow batches; profiles come from one pre-aggregated count over all
 training documents. What reaches the driver is ``profile_size`` rows a language.
 
 Defined results: null text or text without a letter is ``und`` with score 0; a table
-without training rows yields ``und`` throughout; repeated rows are predicted each alike;
-extra columns are ignored.
+without training rows yields ``und`` throughout; texts are read whole, in spans of ``SPAN``
+characters (some 8 bytes a character beside that); n-grams of equal frequency rank by their
+code, equally near languages by name; repeated rows are predicted each alike; an empty table
+gives an empty result; extra columns are kept, but ``lang_pred``, ``score`` and ``distance``
+of the input give way to the results of ``identify`` (``keep_identified`` returns every
+column as it was).
 """
 
 from __future__ import annotations
@@ -22,16 +26,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import give_back, ship, slices
+from rewardmill.llm.common import free_name, give_back, ship, slices
 
 _BLANK = 32
+#: Characters of a text whose n-grams are counted at once.
+SPAN = 1 << 18
 _FOLD: dict[str, np.ndarray] = {}
 
 
 def _fold_table() -> np.ndarray:
     """Code point -> lower-case code point of a letter, or blank; for the first 2^16."""
     if "t" not in _FOLD:
-        t = np.full(1 << 16, _BLANK, dtype=np.int64)
+        t = np.full(1 << 16, _BLANK, dtype=np.int32)
         for c in range(1 << 16):
             if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
                 low = chr(c).lower()
@@ -44,7 +50,7 @@ def letters(text: str) -> np.ndarray:
     """Lower-case letters with one blank for every other character, framed by blanks."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
     high = codes >= 1 << 16
-    out = np.empty(len(codes) + 2, dtype=np.int64)
+    out = np.empty(len(codes) + 2, dtype=np.int32)
     out[0] = out[-1] = _BLANK
     if high.any():
         body = _fold_table()[np.where(high, 0, codes)]
@@ -61,10 +67,22 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     gap = c == _BLANK
     if gap.all():
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    two = c[:-1] << 21 | c[1:]
-    keep2 = ~(gap[:-1] & gap[1:])
-    three = (two[:-1] << 21 | c[2:])[~(gap[1:-1] | gap[:-2] & gap[2:])]
-    return np.unique(np.concatenate([c[~gap], two[keep2], three]), return_counts=True)
+    grams, n = np.empty(0, np.int64), np.empty(0, np.int64)
+    for at in range(0, len(c), SPAN):  # n-grams that begin in this span
+        part = c[at : at + SPAN + 2].astype(np.int64)
+        gap = part == _BLANK
+        two = part[:-1] << 21 | part[1:]
+        three = (two[:-1] << 21 | part[2:])[~(gap[1:-1] | gap[:-2] & gap[2:])]
+        one, two = part[:SPAN][~gap[:SPAN]], two[:SPAN][~(gap[:-1] & gap[1:])[:SPAN]]
+        found, count = np.unique(np.concatenate([one, two, three]), return_counts=True)
+        grams, n = _added(grams, n, found, count) if at else (found, count)
+    return grams, n
+
+
+def _added(grams, n, more, count) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of two counts."""
+    found, where = np.unique(np.concatenate([grams, more]), return_inverse=True)
+    return found, np.bincount(where, np.concatenate([n, count]), len(found)).astype(np.int64)
 
 
 def ranked(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
@@ -130,9 +148,18 @@ def predict(
 ) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and distance (0 to 1, of the nearest profile).
 
-    The score is the nearest profile's share of closeness against the runner-up:
-    1 - nearest / second distance, scaled by half the profile's own closeness.
+    The score is how much nearer the nearest profile is than the second: 1 - nearest / second
+    distance (against the largest distance where there is one profile only). Columns of these
+    names in ``docs`` give way.
     """
+    made = {"lang_pred", "score", "distance"}
+    guess = free_name(docs.columns, "_guess")
+    seen = _guessed(docs, profiles, profile_size, text_col, guess)
+    return seen.drop(*(c for c in docs.columns if c.lower() in made)).select("*", f"{guess}.*").drop(guess)
+
+
+def _guessed(docs: DataFrame, profiles: DataFrame, profile_size: int, text_col: str, name: str) -> DataFrame:
+    """``docs`` with a struct ``name`` of lang_pred, score and distance."""
     spark = docs.sparkSession
     ship(spark)
     rows = profiles.collect()  # languages x profile_size rows: bounded
@@ -156,8 +183,7 @@ def predict(
             out.append((langs[best], float(min(1.0, max(0.0, score))), float(d[best])))
         return pd.DataFrame(out, columns=["lang_pred", "score", "distance"])
 
-    taken = {"lang_pred", "score", "distance"} & set(docs.columns)
-    return docs.drop(*taken).withColumn("_guess", guess(F.col(text_col))).select("*", "_guess.*").drop("_guess")
+    return docs.withColumn(name, guess(F.col(text_col)))
 
 
 def identify(
@@ -178,8 +204,10 @@ def keep_identified(
     Rejected: no letters at all, further than ``max_distance`` from every profile, or
     outside ``accepted`` where that is given.
     """
-    seen = identify(docs, train_on, profile_size)
-    good = (F.col("lang_pred") != "und") & (F.col("distance") <= max_distance)
+    name = free_name(docs.columns, "_guess")
+    seen = _guessed(docs, train_profiles(docs.filter(train_on), profile_size=profile_size), profile_size, "text", name)
+    guess = F.col(name)
+    good = (guess["lang_pred"] != "und") & (guess["distance"] <= max_distance)
     if accepted is not None:
-        good = good & F.col("lang_pred").isin(accepted)
-    return seen.filter(good).select(*docs.columns)
+        good = good & guess["lang_pred"].isin(accepted)
+    return seen.filter(good).drop(name)
