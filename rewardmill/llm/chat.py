@@ -16,8 +16,9 @@ character and its letter, so that no text can open or close a turn.
 
 Defined results: null text is an empty turn; a null role is the other role ``""``; a
 null conversation id forms one conversation of its own; turns are ordered by turn
-(nulls first), equal turns by role and text; an empty table gives an empty result;
-extra columns are ignored.
+(nulls first), equal turns by role and text; batches are cut into slices of some 4 MB of text,
+a longer turn is copied whole; an empty table gives an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 
 from rewardmill.llm.common import ship, shuffle_partitions
 
+SLICE_BYTES = 4 << 20
+LONG_TEXT = 1 << 16
 ESCAPE = "\x1a"
 #: Control strings of the template and the letter that stands for each behind the escape.
 CONTROLS = {
@@ -99,7 +102,11 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     starts = ends - length.ravel()
     buffer = np.empty(int(ends[-1]) if n else 0, dtype=np.uint8)
     for column, data in ((0, fixed), (1, content), (2, fixed)):
-        size = length[:, column]
+        size = length[:, column].copy()
+        for k in np.flatnonzero(size > LONG_TEXT):  # long texts are copied as they lie
+            to, fro = int(starts[3 * k + column]), int(source[k, column])
+            buffer[to : to + size[k]] = data[fro : fro + size[k]]
+            size[k] = 0
         within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         buffer[np.repeat(starts.reshape(n, 3)[:, column], size) + within] = data[
             np.repeat(source[:, column], size) + within
@@ -111,6 +118,18 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return buffer, turn_at, np.where(lossy, text_at, -1), np.where(lossy, text_at + length[:, 1], -1)
 
 
+def byte_slices(batch: pa.RecordBatch):
+    """Consecutive parts of a batch of some ``SLICE_BYTES`` of text, or of one longer turn:
+    positions of bytes take several times the bytes, and offsets end at 2^31."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def format_chats(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
     text_col: str = "text",
@@ -128,9 +147,7 @@ def format_chats(
 
     def run(batches):
         last, chunk = object(), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in byte_slices(whole)):
             buffer, turn_at, lo, hi = assemble(batch.column("role"), batch.column("text"))
             conv = batch.column("conv_id").to_pylist()
             cut = [0, *(k for k in range(1, len(conv)) if conv[k] != conv[k - 1]), len(conv)]
