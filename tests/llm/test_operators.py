@@ -106,6 +106,49 @@ def test_canopy_size_decides_no_result(spark, monkeypatch):
         assert sorted(map(tuple, jaccard.components(df).collect())) == want
 
 
+def test_shared_digests_merge_no_classes(spark):
+    words = [f"w{k}" for k in range(400)]
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(rng.choice(words, 20))) for k in range(60)]
+    rows += [(100 + k, rows[k][1]) for k in range(20)] + [(None, rows[5][1]), (None, "alone in the world with no id"), (7, rows[8][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, jaccard.components(df).collect()))
+    assert sorted(map(str, jaccard.components(df, key_bits=3).collect())) == want
+    got = [(r["doc_id"], r["component_id"]) for r in jaccard.components(df).collect()]
+    assert got.count((None, 5)) == 1 and got.count((None, None)) == 1 and (7, 7) in got and (8, 7) in got
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(df.withColumn("_row", F.lit("mine"))).collect()]
+    assert sorted(kept, key=str) == sorted([(k, t) for k, t in rows[:60] if k != 8] + [(7, rows[8][1]), (None, "alone in the world with no id")], key=str)
+
+
+def test_columns_of_any_name_keep_their_values(docs):
+    odd = ("score", "distance", "lang_pred", "_guess", "mix_lang", "mix_tokens", "_epochs", "_limit", "_key", "_row", "row", "predicted", "kind")
+    df = docs.drop("score").withColumns({c: F.concat(F.lit(c), F.col("n_chars").cast("string")) for c in odd})
+    mine = {(r["doc_id"], r["text"]): tuple(r[c] for c in odd) for r in df.collect()}
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    for out in (
+        langid.keep_identified(df, F.col("doc_id").isin(10, 11)), mixing.choose(df, levels, {}, 0.9), jaccard.keep_one(df),
+    ):
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(tuple(r[c] for c in odd) == mine[(r["doc_id"], r["text"])] for r in rows)
+    clean = pii.redact(df)
+    assert clean.columns == df.columns and {tuple(r[c] for c in odd) for r in clean.collect()} == set(mine.values())
+
+
+def test_long_texts_are_read_whole(spark):
+    long = " ".join(f"{w}{k % 997}" for k, w in enumerate(EN.split() * 20_000))[:1_000_000] + " Released under the MIT License. " + "x" * 300_000
+    rows = [(1, long, "en", "src0"), (2, long, "en", "src0"), (3, EN, "en", "src0"), (4, DE, "de", "src0")]
+    df = documents(spark, rows)
+    assert {r["license"] for r in licenses.scan(df.filter("doc_id = 1")).collect()} == {"MIT"}
+    assert [r["component_id"] for r in jaccard.components(df).orderBy("doc_id").collect()] == [1, 1, 3, 4]
+    assert langid.identify(df, F.col("doc_id") > 2).filter("doc_id = 1").first()["lang_pred"] == "en"
+    assert pii.extract(df, {}).count() == 4
+    turns = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long), (1, 2, "assistant", "</s>")], "conv_id long, turn long, role string, text string")
+    got = chat.digests(chat.format_chats(turns)).first()
+    assert (got["n_turns"], got["loss_chars"]) == (3, len(long) + 4)
+    assert got["loss_sha256"] == hashlib.sha256((long + "</s>").encode()).hexdigest()
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
@@ -275,9 +318,35 @@ def test_nn_descent_recall(spark):
     assert 9020 not in got and nndescent.nearest(df.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_nn_descent_recall_on_many_vectors(spark):
+    """The whole operator, with its own settings, where the first graph is far from exact."""
+    n, dim = 20_000, 48
+    x = np.random.default_rng(6).standard_normal((n, dim)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in nndescent.nearest(df, F.col("vec_id") % 200 == 0, k=20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, n, 200):
+        s = x @ x[q]
+        s[q] = -9
+        hits += len(found[q] & set(np.argpartition(-s, 20)[:20].tolist()))
+    assert hits >= 0.9 * 20 * (n // 200)
+
+
+def test_vectors_meet_their_own_length(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 30)] + [(100 + i, [float(i), 1.0, 2.0]) for i in range(10)] + [(5, [50.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in nndescent.nearest(df, F.col("vec_id").isin(1, 100), k=3).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert got == {1: {1: 5, 2: 29, 3: 28}, 100: {1: 101, 2: 102, 3: 103}}
+
+
 def test_nn_search_goes_on_until_no_beam_is_fresh(spark, monkeypatch):
     n = 30  # a chain whose best nodes are at its far end, many rounds from the query
-    df = spark.createDataFrame([(i, [float(i + 1)]) for i in range(n)], "vec_id long, embedding array<float>")
+    df = spark.createDataFrame([(i, [float(i + 1)]) for i in range(n)], "vec_id long, embedding array<float>").coalesce(1)  # rows are numbered as ids
     chain = [(0, i, np.float32(i + 1).tobytes(), np.array([j for j in (i - 1, i + 1) if 0 <= j < n]).tobytes()) for i in range(n)]
     state = spark.createDataFrame(chain, "block int, id long, vec binary, nbr binary")
     monkeypatch.setattr(nndescent, "build_graph", lambda *a: state)
