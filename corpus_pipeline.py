@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and
 returns a DataFrame with the columns of ``documents``; the last returns packed pieces.
+
+Defined results, stage by stage as in the operators' docstrings: documents of null or empty
+text, or without a letter, go in the first stage; texts are read whole, however long;
+repeated rows are near duplicates of each other, and of every group the row of the smallest
+id stays (of equal ids the first, null ids last); extra columns pass through all stages but
+the last unchanged, whatever they are called; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,8 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "lang": F.col("lang"),
         "source": F.col("source"),
     }
-    chosen = mixing.mix(docs, levels, MIX_WEIGHTS, budget_share=0.8, max_epochs=1, seed=17)
-    return chosen.select(*docs.columns)
+    return mixing.choose(docs, levels, MIX_WEIGHTS, budget_share=0.8, seed=17)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
