@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rewardmill.functions.arithmetic import uniform_of
+from rewardmill.sources.scratch import checkpointed
 
 REPLICAS = 128
 
@@ -95,6 +96,44 @@ def _one_hot(k: Column, size: int) -> Column:
     return F.concat(F.lit("["), F.array_join(hot, ","), F.lit("]"))
 
 
+def run_epochs(
+    environment_rows: DataFrame, interactions: int, replicas: int = REPLICAS, seed: int = 1, first: int = 16, growth: float = 2.0
+) -> DataFrame:
+    """(interaction, epoch, context, action, reward): a Thompson learner's choices, trained
+    again after every growing epoch on all rewards it has seen so far.
+
+    Before the first training actions are drawn evenly. Then an interaction asks one replica,
+    drawn by hash, for the best action in its context, among those it has weight for; unseen
+    contexts draw evenly again. The loop is over epochs: their number is logarithmic.
+    """
+    ends = [0, *learning_epochs(interactions, first, growth)]
+    if ends[-1] < interactions:
+        ends.append(interactions)
+    known = environment_rows.withColumn("context", F.coalesce("context", F.lit("")))
+    drawn = F.row_number().over(Window.partitionBy("interaction").orderBy(F.xxhash64(F.lit(seed), "interaction", "action"), "action"))
+    offers = known.withColumn("_even", drawn == 1).withColumn(
+        "_replica", F.pmod(F.xxhash64(F.lit(seed + 1), "interaction"), F.lit(replicas)).cast("int")
+    )
+    seen = None
+    for epoch, (start, end) in enumerate(zip(ends, ends[1:])):
+        now = offers.filter((F.col("interaction") >= start) & (F.col("interaction") < end))
+        if seen is None:
+            chosen = now.filter("_even")
+        else:
+            pairs = seen.withColumn("_pair", F.struct("context", "action"))
+            draw = lambda k: poisson(uniform_of(F.col("interaction"), k, seed=seed))
+            sums = bootstrap(pairs, "_pair", "reward", draw, replicas).select(
+                F.col("_pair.context").alias("context"), F.col("_pair.action").alias("best"), F.col("replica").alias("_replica"), "weighted", "weight"
+            )
+            mean = F.col("weighted") / F.col("weight")
+            best = sums.filter("weight > 0").groupBy("context", "_replica").agg(F.max_by("best", F.struct(mean, "best")).alias("best"))
+            asked = now.join(best, ["context", "_replica"], "left")
+            chosen = asked.filter(F.when(F.col("best").isNull(), F.col("_even")).otherwise(F.col("action") == F.col("best")))
+        rows = chosen.select("interaction", F.lit(epoch).alias("epoch"), "context", "action", "reward")
+        seen = checkpointed(rows if seen is None else seen.unionByName(rows))
+    return seen
+
+
 def learning_epochs(interactions: int, first: int = 16, growth: float = 2.0) -> list[int]:
     """After how many interactions a model is trained again: growing epochs."""
     out, size, at = [], float(first), 0

@@ -150,9 +150,10 @@ def group_slices(spark, sf_dir):
 
 @query("""
 WITH e AS (SELECT event_id % 10 AS k, event_type FROM events)
-SELECT CASE WHEN k IN (1, 2, 3, 5, 6) THEN NULL ELSE event_type END AS model,
-       CASE k WHEN 1 THEN 'not an object' WHEN 2 THEN 'invalid message_id' WHEN 3 THEN 'invalid count'
-              WHEN 5 THEN 'invalid reward' WHEN 6 THEN 'invalid decision_id' END AS reject_reason,
+SELECT CASE WHEN k IN (1, 2, 3, 4, 5, 6, 8, 9) THEN NULL ELSE event_type END AS model,
+       CASE k WHEN 1 THEN 'not an object' WHEN 2 THEN 'invalid message_id' WHEN 3 THEN 'invalid count' WHEN 4 THEN 'invalid model'
+              WHEN 5 THEN 'invalid reward' WHEN 6 THEN 'invalid decision_id' WHEN 8 THEN 'sample beside a count of 1'
+              WHEN 9 THEN 'invalid message_id' END AS reject_reason,
        count(*) AS n
 FROM e GROUP BY 1, 2
 """)
@@ -167,6 +168,9 @@ def classify_and_validate(spark, sf_dir):
         F.when(k == 1, F.lit("[1, 2"))
         .when(k == 2, line(message_id=F.lit("short"), model=kind, count=F.lit(1)))
         .when(k == 3, line(message_id=ident, model=kind, count=F.lit(0)))
+        .when(k == 4, line(message_id=ident, model=F.concat(F.lit("-"), kind), count=F.lit(2)))
+        .when(k == 8, line(message_id=ident, model=kind, count=F.lit(1), sample=kind))
+        .when(k == 9, line(message_id=F.concat(F.lit(ksuid.lower_bound(1_800_000_001)[:14]), F.lit("z"), F.substring(ident, 16, 12)), model=kind, count=F.lit(2)))
         .when(k == 5, line(message_id=ident, model=kind, decision_id=ident, reward=F.lit("much")))
         .when(k == 6, line(message_id=ident, model=kind, decision_id=F.lit("?"), reward=F.lit(1)))
         .when(k == 7, good_reward).otherwise(good_decision)

@@ -305,6 +305,20 @@ def synthetic_environment(spark, sf_dir):
     return out
 
 
+@query("""
+SELECT * FROM (VALUES (0, 16, false), (1, 32, true), (2, 64, true), (3, 128, true), (4, 160, true)) t(epoch, interactions, learned)
+""")
+def epoch_learner(spark, sf_dir):
+    """A Thompson learner over growing epochs: how many interactions each has, and whether
+    another that meets only three of the five contexts earned more than half again of what
+    even draws earn."""
+    rows = bandit.environment(spark, "match", interactions=400, size=5)
+    chosen = bandit.run_epochs(rows.filter("context < '3'"), 400, replicas=16)
+    earned = chosen.groupBy("epoch").agg(F.avg("reward").alias("mean"))
+    every = bandit.run_epochs(rows, 400, replicas=16).groupBy("epoch").agg(F.count(F.lit(1)).cast("int").alias("interactions"))
+    return every.join(earned, "epoch").select("epoch", "interactions", (F.col("mean") > 0.3).alias("learned"))
+
+
 # --------------------------------------------------------------------------------- models
 
 
@@ -322,6 +336,31 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT * FROM (VALUES ('fresh', true), ('of another version', false), ('too old', false), ('not there', false), ('without metadata', false)) t("case", reused)
+""")
+def checkpoint_reuse(spark, sf_dir):
+    """Which stored models are used again, and which are trained anew."""
+    from datetime import datetime
+
+    from rewardmill.operators import models
+    from rewardmill.plans.catalog import _model_rows
+    from rewardmill.sources.partitions import remove
+    from rewardmill.sources.scratch import new_folder
+
+    config, now, path = TrainConfig(tree_depth=2, max_checkpoint_age="1 hour"), datetime(2024, 1, 1), new_folder(spark, "model")
+    model = models.fit_propensity(_model_rows(spark, sf_dir), config, trees=2)
+    models.save(spark, model, models.metadata("m", ["item.lang"], {"item.lang": [3, 1]}, 7, now, config.version, 2.0), path)
+    used = lambda where, config, now: models.load_if_fresh(spark, where, config, now) is not None
+    rows = [
+        ("fresh", used(path, config, now)), ("of another version", used(path, TrainConfig(version="2", max_checkpoint_age="1 hour"), now)),
+        ("too old", used(path, config, datetime(2024, 1, 2))), ("not there", used(f"{path}-none", config, now)),
+    ]
+    remove(spark, f"{path}/metadata")
+    rows.append(("without metadata", used(path, config, now)))
+    return spark.createDataFrame(rows, "case string, reused boolean")
+
+
 @query("SELECT unnest(['context.lang', 'context.n', 'item.source']) AS feature")
 def trained_features(spark, sf_dir):
     """Both training phases end to end, saved and described by their metadata: the features

@@ -11,7 +11,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardmill.config import LayoutConfig
+from rewardmill.config import LayoutConfig, TrainConfig
 from rewardmill.functions import ksuid, names
 from rewardmill.operators import layout, scan
 from rewardmill.plans import compaction
@@ -194,6 +194,18 @@ def compact_partitions(spark, sf_dir):
     )
 
 
+@query(f"""
+SELECT {_IDENT} AS decision_id, '{{"e":' || CAST(event_id AS VARCHAR) || '}}' AS item, '{{}}' AS context, CAST(0 AS DOUBLE) AS reward FROM events
+""")
+def training_scan(spark, sf_dir):
+    """What training reads of partition files: decisions only, missing rewards as 0."""
+    from rewardmill.plans import training as plan
+
+    files = partitions.manifest(spark, _written(spark, sf_dir))
+    rows = plan.load(spark, files, TrainConfig(explore=False), max_rows=None, min_rows=None)
+    return rows.select("decision_id", "item", "context", "reward")
+
+
 # ------------------------------------------------------------------------------ planning
 
 ISO = "yyyyMMdd'T'HHmmss'Z'"
