@@ -41,6 +41,29 @@ def parse_duration(text: str) -> timedelta:
     return timedelta(**{unit.removesuffix("s") + "s": float(value)})
 
 
+def _value_and_unit(text: str) -> tuple[str, str]:
+    parts = str(text or "").split()
+    if len(parts) != 2:
+        raise ValueError(f"not a value and a unit: {text!r}")
+    return parts[0], parts[1]
+
+
+def parse_runtime(text: str) -> int:
+    """Seconds of ``"2 hours"``: a positive whole number of seconds, minutes, hours or days."""
+    value, unit = _value_and_unit(text)
+    if not re.fullmatch("[1-9][0-9]*", value) or unit.lower() not in [f"{u}s" for u in UNITS]:
+        raise ValueError(f"not a runtime: {text!r}")
+    return int(timedelta(**{unit.lower(): int(value)}).total_seconds())
+
+
+def parse_volume(text: str) -> int:
+    """Gigabytes of ``"10 GB"``, a positive whole number."""
+    value, unit = _value_and_unit(text)
+    if unit != "GB" or float(value) != int(float(value)) or float(value) <= 0:
+        raise ValueError(f"not a volume: {text!r}")
+    return int(float(value))
+
+
 def parse_flag(text: str) -> bool:
     """yes, true, t or 1 in any case."""
     return str(text).lower() in ("yes", "true", "t", "1")

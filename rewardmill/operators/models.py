@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json as pyjson
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rewardmill.config import TrainConfig
 from rewardmill.functions import names
+from rewardmill.sources import partitions
 
 MISSING = -1e6
 REQUIRED = {"model_name": str, "string_tables": dict, "model_seed": int, "created_at": str, "version": str}
@@ -90,6 +92,20 @@ def save(spark: SparkSession, model, found: dict, path: str) -> None:
     spark.createDataFrame(row, "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
+def publish(spark: SparkSession, path: str, root: str, model_name: str, now: datetime) -> tuple[str, str]:
+    """Copy a saved model to the archive, under its name and time, and then over the latest
+    one; returns both places. The new copy is complete before the old one goes."""
+    stamp = now.strftime("%Y-%m-%d-%H-%M-%S")
+    archive = f"{root.rstrip('/')}/models/archive/{model_name}/{model_name}-{stamp}-{uuid.uuid4()}"
+    latest = f"{root.rstrip('/')}/models/latest/{model_name}"
+    partitions.copy(spark, path, archive)
+    partitions.copy(spark, archive, f"{latest}.new")
+    if partitions.exists(spark, latest):
+        partitions.remove(spark, latest)
+    partitions.rename(spark, f"{latest}.new", latest)
+    return archive, latest
+
+
 def load_if_fresh(spark: SparkSession, path: str, config: TrainConfig, now: datetime, kind=GBTClassificationModel):
     """(model, metadata) of a stored model of this version that isn't too old; else None,
     whatever is wrong with it: then it is trained again."""

@@ -92,6 +92,12 @@ def decision_rows(
     return rows.select("decision_id", "item", context.alias("context"), target.alias("y"), weight.alias("w"))
 
 
+def described(row) -> str:
+    """One line of a :func:`describe` row: ``count: 152, mean: 0.87, ..., max: 9.66``."""
+    labels = {"n": "count", "mean": "mean", "std": "std", "low": "min", "p25": "25%", "p50": "50%", "p75": "75%", "high": "max"}
+    return ", ".join(f"{label}: {row[name]:.6g}" for name, label in labels.items() if row[name] is not None)
+
+
 def describe(rows: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """count, mean, deviation, minimum, quartiles, maximum; no task holds a group's values."""
     c, by = F.col(column), list(by)

@@ -45,8 +45,24 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(dst.getParent())
     if fs.exists(dst):
         fs.delete(dst, False)
+    rename(spark, source, target)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    src, fs = _files(spark, source)
+    dst, _ = _files(spark, target)
     if not fs.rename(src, dst):
-        raise OSError(f"could not move {source} to {target}")
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file or folder, through the file systems' own streams."""
+    src, fs = _files(spark, source)
+    dst, to = _files(spark, target)
+    to.mkdirs(dst.getParent())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if not spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, True, conf):
+        raise OSError(f"could not copy {source} to {target}")
 
 
 def remove(spark: SparkSession, path: str) -> None:

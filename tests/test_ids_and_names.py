@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from rewardmill import config
 from rewardmill.functions import ksuid, names
 
 
@@ -55,6 +56,27 @@ def test_durations_and_flags():
     assert names.parse_flag("Yes") and names.parse_flag("1") and not names.parse_flag("no")
 
 
+def test_runtimes_and_volumes():
+    assert names.parse_runtime("2  hours") == 7200 and names.parse_runtime("90 Seconds") == 90 and names.parse_volume("10 GB") == 10
+    for bad in ("", None, "2", "0 hours", "-1 days", "1 weeks", "1.5 hours"):
+        with pytest.raises(ValueError):
+            names.parse_runtime(bad)
+    for bad in ("10 MB", "1.5 GB", "0 GB", "10"):
+        with pytest.raises(ValueError):
+            names.parse_volume(bad)
+
+
+def test_every_model_has_its_own_settings():
+    common = {"schedule": "rate(4 hours)", "max_runtime": "2 hours", "volume_size": "10 GB", "hyperparameters": {"max_trees": 150, "max_decision_records": 8_000_000}}
+    tree = {"organization": "org", "project": "p1", "training": common, "models": {"a": None, "b-1": {"training": {"max_runtime": "1 days", "hyperparameters": {"max_trees": "9", "explore": "no"}}}}}
+    a, b = config.jobs(tree)
+    assert (a.model, a.schedule, a.runtime_seconds, a.volume_gb, a.train.max_trees, a.limits) == ("a", "rate(4 hours)", 7200, 10, 150, {"max_decision_records": 8_000_000})
+    assert (b.runtime_seconds, b.train.max_trees, b.train.explore, b.limits) == (86_400, 9, False, a.limits)
+    for change in ({"organization": "Org"}, {"project": None}, {"models": []} | {"models": [1]}, {"models": {"!": None}}, {"models": {"a": [1]}}):
+        with pytest.raises(ValueError):
+            config.jobs(tree | change)
+
+
 def test_job_names_fit():
     now = datetime(2020, 1, 2, 3, 4, 5)
     assert names.job_name(["svc", "dev", "m_1"], now) == "svc-dev-m-1-20200102030405"

@@ -191,6 +191,26 @@ def test_models_learn_and_load(spark, tmp_path):
     assert models.load_if_fresh(spark, str(tmp_path / "none"), config, now) is None
 
 
+def test_published_models_replace_the_latest(spark, tmp_path):
+    rows = spark.range(60).select((F.col("id") % 2).cast("double").alias("y"), F.lit(1.0).alias("w"), F.array((F.col("id") % 2).cast("float")).alias("features"), (F.col("id") % 10 < 3).alias("is_test"))
+    model = models.fit_propensity(rows, TrainConfig(tree_depth=1), trees=1)
+    home = str(tmp_path)
+    for version in ("1", "2"):
+        models.save(spark, model, models.metadata("m", ["a"], {}, 7, datetime(2022, 1, 1), version), f"{home}/saved")
+        archive, latest = models.publish(spark, f"{home}/saved", home, "m", datetime(2022, 1, 2, 3, 4, 5))
+        config = TrainConfig(version=version, max_checkpoint_age="1 day")
+        assert models.load_if_fresh(spark, latest, config, datetime(2022, 1, 1)) is not None is not models.load_if_fresh(spark, archive, config, datetime(2022, 1, 1))
+    assert archive.startswith(f"{home}/models/archive/m/m-2022-01-02-03-04-05-") and latest == f"{home}/models/latest/m"
+    line = training.described(training.describe(rows, "y").first())
+    assert line == "count: 60, mean: 0.5, std: 0.504219, min: 0, 25%: 0, 50%: 0.5, 75%: 1, max: 1"
+
+
+def test_epoch_learner_learns(spark):
+    env = bandit.environment(spark, "match", 300, 4)
+    rows = bandit.run_epochs(env, 300, replicas=8).groupBy("epoch").agg(F.avg("reward").alias("m"), F.count("*").alias("n")).orderBy("epoch").collect()
+    assert [r["n"] for r in rows] == [16, 32, 64, 128, 60] and rows[-1]["m"] > 0.6 > rows[0]["m"]
+
+
 def test_metadata_faults():
     good = models.metadata("m", ["a"], {}, 1, datetime(2022, 1, 1), "1")
     for key in ("model_name", "model_seed", "created_at", "version", "string_tables"):
