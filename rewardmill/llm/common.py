@@ -36,25 +36,31 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder and read it back.
 
     Cuts the lineage like ``checkpoint()``; a lost executor re-reads files, it does not
-    recompute the Python stages before.
+    recompute the Python stages before. The table goes when the application ends, or sooner
+    by :func:`discard`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/rewardmill-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a ``materialise``d table that nothing reads any more, and let
-    Spark clean up the shuffle files of the jobs before it."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if path.getName().startswith("rewardmill-"):
-            path.getFileSystem(conf).delete(path, True)
+    name = f"{shared_dir(spark).rstrip('/')}/rewardmill-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(name)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``materialise``d tables that nothing reads any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getName().startswith("rewardmill-"):
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark clean up the shuffle files of jobs that nothing refers to any more."""
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def ship(spark: SparkSession) -> None:

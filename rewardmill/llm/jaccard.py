@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rewardmill.llm.common import (
-    checked_broadcast, connected_components, free_name, give_back, materialise, ship, shuffle_partitions, slices,
+    checked_broadcast, connected_components, discard, free_name, give_back, materialise, ship, shuffle_partitions, slices,
 )
 
 BATCH_DOCS = 2_000
@@ -529,7 +529,9 @@ def classified(docs: DataFrame, n: int, percent: int, key_bits: int = 64) -> Dat
     )
     named = materialise(named.join(checked_broadcast(materialise(open_pivots)), "pivot", "left_semi"))
     again = materialise(_left_pairs(named, classes, percent, second=True).join(pairs, ["a", "b"], "left_anti"))
-    if not again.isEmpty():
+    more = not again.isEmpty()
+    before = joined
+    if more:
         links = links.union(_search(again, docs, classes, n, percent, naming))
         joined = materialise(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     # written before it meets the rows: copies are many rows of a key, and only a join of two
@@ -539,6 +541,7 @@ def classified(docs: DataFrame, n: int, percent: int, key_bits: int = 64) -> Dat
             "k1", F.coalesce("component", "k1").alias("component")
         )
     )
+    discard(canopies, pairs, named, again, before, classes, *([joined] if more else []))
     own = rows.select("row", "size", F.when(F.col("size") > 0, F.col("k1")).alias("k1"))
     return own.join(labels, "k1", "left")
 

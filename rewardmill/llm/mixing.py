@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import SMALL_ROWS, free_name, materialise
+from rewardmill.llm.common import SMALL_ROWS, discard, free_name, materialise
 
 WHOLE = "decimal(38,0)"
 KEY_DIGITS = 3
@@ -154,6 +154,7 @@ def mix(
             F.coalesce("_last", "_range", F.lit("g")).alias("_limit"),
         )
     )
+    discard(rows, plan)
     epochs, limit = free_name(base.columns, "_epochs"), free_name(base.columns, "_limit")
     limits = limits.withColumnsRenamed({"_epochs": epochs, "_limit": limit})
     times = F.col(epochs) + (key(F.col(id_col).cast("string"), epochs) <= F.col(limit)).cast("int")

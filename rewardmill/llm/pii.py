@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardmill.llm.common import give_back, materialise, ship, slices
+from rewardmill.llm.common import discard, give_back, materialise, ship, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 
@@ -272,7 +272,8 @@ def learn_patterns(
     count as seeds like the base kinds, and induce further patterns in the same way.
     """
     ship(docs.sparkSession)
-    edges = materialise(_occurrences(docs, text_col))
+    made = [materialise(_occurrences(docs, text_col))]
+    edges = made[0]
     named = F.lit(False)
     for w in seed_words:
         named = named | F.col("pattern").rlike(rf"(^|[\s\"'_-])({w})s?\W*( ?[=:]+)?$")
@@ -284,8 +285,10 @@ def learn_patterns(
     )
     n = candidates.count()
     if not n:
+        discard(edges, candidates)
         return {}
     totals = materialise(_totals(docs, candidates, n, text_col))
+    made += [candidates, totals]
     scored = None
     for _ in range(rounds):
         scored = materialise(
@@ -301,6 +304,7 @@ def learn_patterns(
                 F.greatest(F.max("start"), F.coalesce(F.max("score"), F.lit(0.0))).alias("worth"),
             )
         )
+        made += [scored, worth]
     # a pattern must pick out unseen identifiers too, or it adds nothing
     unseen = edges.filter("seed = 0").select("pattern").distinct()
     rows = (
@@ -309,6 +313,7 @@ def learn_patterns(
         .orderBy(F.desc("score"), F.desc("instances"), "pattern")
         .collect()
     )
+    discard(*made)
     return {r["pattern"]: r["score"] for r in rows}
 
 
