@@ -209,6 +209,54 @@ def test_bootstrap_finds_contexts(spark):
     assert all(r["n_context"] == 1 for r in pii.extract(df.filter("doc_id < 100 AND doc_id % 2 = 0"), patterns).collect())
 
 
+def slow_patterns(texts, rounds=3, least_instances=5, least_score=0.55, prior=4.0):
+    """The pattern-instance graph in plain Python."""
+    words = "token password secret key ssn passport iban".split()
+    edges, seeds, totals = {}, set(), {}
+    for text in texts:
+        spans = [(s, e) for _, s, e in pii.base_spans(text)]
+        for seed, (s, e) in [*((1, x) for x in spans), *((0, x) for x in pii.identifiers(text, spans))]:
+            for p in pii.patterns_before(text, s):
+                n, was = edges.get((p, text[s:e].lower()), (0, 0))
+                edges[p, text[s:e].lower()] = (n + 1, max(was, seed))
+        for line in text.lower().split("\n"):
+            for p in (p for both in pii.contexts(line) for p in both if p):
+                totals[p] = totals.get(p, 0) + 1
+    named = lambda p: any(re.search(rf"(^|[\s\"'_-])({w})s?\W*( ?[=:]+)?$", p) for w in words)
+    start = {}
+    for (p, i), (_, seed) in edges.items():
+        start[i] = max(start.get(i, 0.0), 1.0 if seed or named(p) else 0.0)
+    of = {}
+    for (p, i), (n, _) in edges.items():
+        of.setdefault(p, {})[i] = n
+    worth, score = dict(start), {}
+    for _ in range(rounds):
+        score = {p: sum(worth[i] * n for i, n in x.items()) / (max(totals.get(p, 0), sum(x.values())) + prior) for p, x in of.items() if len(x) >= least_instances}
+        worth = {i: max(start[i], max((score.get(p, 0.0) for p, x in of.items() if i in x), default=0.0)) for i in start}
+    unseen = {p for (p, _), (_, seed) in edges.items() if not seed}
+    return {p: v for p, v in score.items() if v >= least_score and p in unseen}
+
+
+def test_patterns_equal_a_graph_in_plain_python(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(150):
+        ident = f"q{rng.integers(0, 60)}x{k % 7}z9"
+        form = rng.choice(["password={}", "mail a.b{}@c.example or", 'the ref: "{}"', "ref: {} and", "badge {}", "see {} here", "user mail x{}@y.example", "the {}", "Token  : ({})"])
+        rows.append((k, f"{rng.choice(['we', 'they', 'the ref:'])} " + form.format(ident) + "\n" + rng.choice(["the cat", "see the dog", "badge"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, want = pii.learn_patterns(df, least_score=0.2), slow_patterns([t for _, t in rows], least_score=0.2)
+    assert want and got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_held_out_toxicity(spark):
+    home = "/root/testdata/sf0.1"
+    rows = queries.QUERIES["op10_toxic_grammar"](spark, home).join(spark.read.parquet(f"{home}/labels.parquet").select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
+    bad, good = [r["score"] for r in rows if r["toxic"]], [r["score"] for r in rows if not r["toxic"]]
+    auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
+    assert auc >= 0.94 and sum(r["predicted"] for r in rows if not r["toxic"]) <= 0.01 * len(good)
+
+
 def test_contexts_that_touch_their_identifier(spark):
     forms = ["api_key={}", "password:{}", '{{"secret":"{}"}}', "ssn:{}", "iban={}"]
     rows = [(100 * f + k, "we set " + form.format(f"sk{k}f8a{f}b6c{k}d") + " then") for f, form in enumerate(forms) for k in range(12)]

@@ -237,3 +237,60 @@ def test_maxscore_with_a_floor_keeps_what_reaches_it(seed):
         assert got[0].tolist()[: len(sure)] == sure
 
 
+
+
+WORDS = st.sampled_from(["moron", "scummy", "you", "not", "said", "will", "kill", "piece", "of", "the", "park", "oxymoron", "don't", "."])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(WORDS, st.sampled_from([" ", " ", ". ", "; ", "\n", ", "])), max_size=14))
+def test_features_are_the_clauses_sums(words):
+    text = "".join(w + gap for w, gap in words)
+    scorer = toxicity.Scorer(toxicity.Lexicon({"moron": 5.0}, {"scumm": 4.0}))
+    total = best = weak = 0.0
+    found = set()
+    for clause in re.split(r"[.!?;:\n|]", text):
+        own = [scorer.letter(w) for w in toxicity._WORD.findall(clause)]
+        if any(k in "iv" for k, _, _ in own):
+            found |= {w for w, x in zip(toxicity._WORD.findall(clause), own) if x[0] == "i"}
+            score, weakened = toxicity.clause_score(own)
+            total, weak, best = total + score, weak + weakened, max(best, score)
+    want = (np.log1p(total), best, np.log1p(len(found)), np.log1p(weak))
+    assert scorer.features(text) == pytest.approx(want)
+
+
+def slow_profile(texts, size):
+    counts = {}
+    for t in texts:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            padded = f" {w} "
+            for n in (1, 2, 3):
+                for k in range(len(padded) - n + 1):
+                    gram = padded[k : k + n]
+                    if gram.strip() and (n < 3 or gram[0] + gram[2] != "  "):
+                        counts[gram] = counts.get(gram, 0) + 1
+    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))
+    return [code(g) for g in sorted(counts, key=lambda g: (-counts[g], code(g)))][:size]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcé äZ.1", max_size=25), min_size=2, max_size=4))
+def test_distances_are_out_of_place_sums(texts):
+    size = 12
+    profiles = [slow_profile([t], size) for t in texts[1:]]
+    grams = np.array(sorted({g for p in profiles for g in p}), dtype=np.int64)
+    ranks = np.array([[p.index(g) if g in p else size for p in profiles] for g in grams.tolist()], dtype=np.int64).reshape(-1, len(profiles))
+    own = slow_profile(texts[:1], size)
+    if not own or not len(grams):
+        return
+    got = langid.distances(texts[0], grams, ranks, size)
+    want = [sum(abs(p.index(g) - k) if g in p else size for k, g in enumerate(own)) / (size * len(own)) for p in profiles]
+    assert got.tolist() == pytest.approx(want)
+
+
+def test_ngrams_do_not_depend_on_spans(monkeypatch):
+    text = "The quick brown fox, über 12 Häuser; jumps " * 7
+    whole = [x.tolist() for x in langid.ngram_counts(text)]
+    for span in (1, 2, 3, 50):
+        monkeypatch.setattr(langid, "SPAN", span)
+        assert [x.tolist() for x in langid.ngram_counts(text)] == whole
