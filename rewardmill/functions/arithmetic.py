@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,18 +58,27 @@ def binary_reward(reward: Column) -> Column:
     return (reward > 0).cast("double")
 
 
-def bootstrap_weight(uniform: Column, terms: int = 20) -> Column:
-    """Poisson(1) given that it isn't 0, by inverse distribution of a uniform in [0, 1)."""
-    import math
-
-    total, weight = 0.0, F.lit(float(terms))
-    cuts = []
-    for k in range(1, terms):
-        total += math.exp(-1) / math.factorial(k) / (1 - math.exp(-1))
+def poisson_cuts(terms: int = 20, not_zero: bool = False) -> list[tuple[int, float]]:
+    """(k, P(X <= k)) of a Poisson(1) X, or of one that isn't 0."""
+    total, cuts = 0.0, []
+    for k in range(1 if not_zero else 0, terms):
+        total += math.exp(-1) / math.factorial(k) / ((1 - math.exp(-1)) if not_zero else 1.0)
         cuts.append((k, total))
+    return cuts
+
+
+def by_cuts(uniform: Column, cuts: list[tuple[int, float]]) -> Column:
+    """The first number whose cut a uniform in [0, 1) is below."""
+    found = F.lit(float(cuts[-1][0] + 1))
     for k, cut in reversed(cuts):
-        weight = F.when(uniform < cut, float(k)).otherwise(weight)
-    return weight
+        found = F.when(uniform < cut, float(k)).otherwise(found)
+    return found
+
+
+def bootstrap_weight(uniform: Column) -> Column:
+    """Poisson(1) given that it isn't 0, by inverse distribution of a uniform in [0, 1),
+    which is drawn once however many cuts it is held against."""
+    return F.get(F.transform(F.array(uniform), lambda u: by_cuts(u, poisson_cuts(not_zero=True))), F.lit(0))
 
 
 def uniform_of(*columns: Column, seed: int) -> Column:

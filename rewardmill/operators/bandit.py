@@ -3,41 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rewardmill.functions.arithmetic import uniform_of
+from rewardmill.functions.arithmetic import by_cuts, poisson_cuts, uniform_of
 from rewardmill.sources.scratch import checkpointed
 
 REPLICAS = 128
 
 
-def bootstrap(rows: DataFrame, action: str, reward: str, replica_weight, replicas: int = REPLICAS) -> DataFrame:
-    """(action, replica, weighted, weight): per action, sums under each replica's row weights.
+def bootstrap(
+    rows: DataFrame, action: str, reward: str, seed: Column, draw: Callable[[Column, Column], Column], replicas: int = REPLICAS
+) -> DataFrame:
+    """(action, replica, weighted, weight): per action, sums under each replica's Poisson(1)
+    row weights.
 
-    The replicas are generated behind the scan; sums combine before the shuffle, so what
-    moves is actions times replicas.
+    A row's uniforms, ``draw(seed, replica)``, are one array, its seed computed once; the
+    replicas are generated from it behind the scan, and sums combine before the shuffle, so
+    what moves is actions times replicas.
     """
-    spread = rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
-    w = replica_weight(F.col("replica"))
-    return spread.withColumn("_w", w).groupBy(action, "replica").agg(
+    each = lambda s: F.transform(F.sequence(F.lit(0), F.lit(replicas - 1)), lambda k: draw(s, k))
+    uniforms = F.get(F.transform(F.array(seed), each), F.lit(0))
+    spread = rows.select(action, reward, F.posexplode_outer(uniforms).alias("replica", "_u"))
+    return spread.withColumn("_w", by_cuts(F.col("_u"), poisson_cuts())).groupBy(action, "replica").agg(
         F.sum(F.col("_w") * F.col(reward)).alias("weighted"), F.sum("_w").alias("weight")
     )
 
 
-def poisson(uniform: Column, terms: int = 20) -> Column:
-    """Poisson(1) by inverse distribution of a uniform in [0, 1)."""
-    import math
-
-    total, cuts = 0.0, []
-    for k in range(terms):
-        total += math.exp(-1) / math.factorial(k)
-        cuts.append((k, total))
-    return reduce(lambda c, x: F.when(uniform < x[1], float(x[0])).otherwise(c), reversed(cuts), F.lit(float(terms)))
-
-
 def best_actions(sums: DataFrame, action: str) -> DataFrame:
     """(replica, action): Thompson choices, the action of the largest mean under each replica;
     of equal ones the last by name; actions without weight are left out."""
@@ -121,8 +114,8 @@ def run_epochs(
             chosen = now.filter("_even")
         else:
             pairs = seen.withColumn("_pair", F.struct("context", "action"))
-            draw = lambda k: poisson(uniform_of(F.col("interaction"), k, seed=seed))
-            sums = bootstrap(pairs, "_pair", "reward", draw, replicas).select(
+            draw = lambda s, k: uniform_of(s, k, seed=seed)
+            sums = bootstrap(pairs, "_pair", "reward", F.col("interaction"), draw, replicas).select(
                 F.col("_pair.context").alias("context"), F.col("_pair.action").alias("best"), F.col("replica").alias("_replica"), "weighted", "weight"
             )
             mean = F.col("weighted") / F.col("weight")

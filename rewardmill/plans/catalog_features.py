@@ -195,16 +195,13 @@ def selected_tables(spark, sf_dir):
 # ------------------------------------------------------------------------- decision rows
 
 
-def _cuts(conditional: bool, terms: int = 20) -> list[tuple[int, float]]:
-    total, out = 0.0, []
-    for k in range(1 if conditional else 0, terms):
-        total += math.exp(-1) / math.factorial(k) / ((1 - math.exp(-1)) if conditional else 1.0)
-        out.append((k, total))
-    return out
-
-
-def _poisson_sql(x: str, conditional: bool) -> str:
-    return "CASE " + " ".join(f"WHEN {x} < {c!r} THEN {k}.0" for k, c in _cuts(conditional)) + " ELSE 20.0 END"
+def _poisson_sql(x: str, not_zero: bool) -> str:
+    cuts, total = [], 0.0
+    for k in range(20):
+        if k or not not_zero:
+            total += math.exp(-1) / math.factorial(k) / ((1 - math.exp(-1)) if not_zero else 1.0)
+            cuts.append(f"WHEN {x} < {total!r} THEN {k}.0")
+    return f"CASE {' '.join(cuts)} ELSE 20.0 END"
 
 
 @query(f"""
@@ -240,9 +237,8 @@ def decision_training_rows(spark, sf_dir):
 # ------------------------------------------------------------------- bandits, environments
 
 
-def _replica_uniform(replica: Column) -> Column:
-    """A uniform of an event and a replica: its md5, stepped by the replica."""
-    seed = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("long")
+def _replica_uniform(seed: Column, replica: Column) -> Column:
+    """A uniform of an event's seed and a replica: the seed, stepped by the replica."""
     return F.pmod(seed * 1664525 + replica.cast("long") * 1013904223, F.lit(4294967296)) / F.lit(4294967296.0)
 
 
@@ -257,8 +253,8 @@ sums AS (SELECT event_type, replica, sum(w * value) AS weighted, sum(w) AS weigh
 
 
 def _replica_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return bandit.bootstrap(events, "event_type", "value", lambda k: bandit.poisson(_replica_uniform(k)))
+    seed = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("long")
+    return bandit.bootstrap(table(spark, sf_dir, "events"), "event_type", "value", seed, _replica_uniform)
 
 
 @query(_REPLICAS + "SELECT event_type, replica, round(weighted, 4) AS weighted, CAST(weight AS BIGINT) AS weight FROM sums")

@@ -235,7 +235,7 @@ def test_environments(spark):
 
 def test_thompson_prefers_the_better_arm(spark):
     rows = spark.range(2_000).select(F.when(F.col("id") % 2 == 0, "good").otherwise("bad").alias("arm"), F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.2).alias("r"), "id")
-    sums = bandit.bootstrap(rows, "arm", "r", lambda k: bandit.poisson(arithmetic.uniform_of(F.col("id"), k, seed=1)), 4)
+    sums = bandit.bootstrap(rows, "arm", "r", F.col("id"), lambda s, k: arithmetic.uniform_of(s, k, seed=1), 4)
     assert all(bandit.best_action(sums, "arm", k).first()["action"] == "good" for k in range(4))
 
 
