@@ -12,26 +12,12 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rewardmill.sources.scratch import shared_dir
+
 _PACKAGE = Path(__file__).resolve().parents[1]
 _SHIPPED: set[str] = set()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where nothing is configured (tests, a laptop) a temporary folder is set.
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return configured
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rewardmill-"))
-    return sc.getCheckpointDir()
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a compressed table in the shared folder and read it back.
 
@@ -64,15 +50,13 @@ def tidy(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors when they don't share the driver's path."""
+    """Make this package importable on executors, once an application: only where they are
+    this machine's own threads is the driver's path theirs too."""
     sc = spark.sparkContext
-    root = str(_PACKAGE.parent)
-    on_path = root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root
-    if on_path or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED or sc.master == "local" or sc.master.startswith("local["):
         return
-    base = os.path.join(tempfile.mkdtemp(), "rewardmill_src")
-    archive = shutil.make_archive(base, "zip", root, _PACKAGE.name)
-    sc.addPyFile(archive)
+    base = os.path.join(tempfile.mkdtemp(), "rewardmill_src")  # the driver serves it from here
+    sc.addPyFile(shutil.make_archive(base, "zip", str(_PACKAGE.parent), _PACKAGE.name))
     _SHIPPED.add(sc.applicationId)
 
 
