@@ -7,22 +7,26 @@ one class; everything below runs on classes, so thousands of copies cost one.
 1. One map pass gives each class its size, a 128-bit digest and a parity bitmap of its
    set, and a lossy count of shingles that are frequent within a batch. Summed over all
    batches these *heavy* shingles only decide an order (rare first), never a result.
-2. Of two linked sets, each one's first |A| - ceil(percent |A|) + 1 shingles in that
-   order share one. A second map pass deals just these out, packed into arrays by hash
-   bucket; each bucket's inverted lists of two or more classes become *canopies*
-   (pivot, members): every linked pair is inside some canopy. A heavy shingle's pivot is
-   known beforehand, so its list never meets in one place.
+2. Corpus-wide DivideSkip: a partner of A shares at least T = ceil(percent |A|) shingles
+   with it, so with the T - 1 longest of A's inverted lists set aside it is found in one of
+   the |A| - T + 1 short ones. A second map pass deals just the short lists' postings out,
+   packed into arrays by hash bucket, where lists are merged by sorting: those of two or
+   more classes become *canopies* (pivot, members), and every linked pair is inside some
+   canopy. A heavy shingle's pivot is known beforehand, so its list never meets in one place.
 3. Inside a canopy parity bitmaps (Hamming distance never exceeds the symmetric
    difference, so nothing linked is lost) leave the pairs of its pivot and of its medoid
    with the others, and all pairs of small canopies; large canopies are cut into blocks.
 4. Left pairs go to the T-occurrence search: a query's inverted lists over its block are
-   divided; the short ones are merged into counts, the long ones only probed by binary
-   search for documents that can still reach the required overlap (DivideSkip).
+   divided again; the short ones are merged into counts (an array over the block stands in
+   for the heap), the long ones only probed by binary search for documents that can still
+   reach the required overlap.
 5. Components are contracted in Spark; then all members of a canopy that are still in
    different components are compared, by 3 and 4 again, and components contracted anew.
 
 So a group of near copies costs its size, not its square, and no link between different
-texts is lost.
+texts is lost. What remains quadratic is the second round of 5 inside one canopy, over
+members that are still in different components: texts that share a short list and yet
+aren't linked. It is dealt by pairs of blocks, so no task is larger than two blocks.
 
 A class is named by 64 bits of its set's digest; where sets of different digests share
 them, their names are mixed from all 128. Rows are told apart by their place in a written
