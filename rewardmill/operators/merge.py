@@ -35,10 +35,10 @@ def merge(rows: DataFrame, keys: Sequence[str] = ("decision_id",), order: str =
     ordered = F.col(order).alias("_o")
     said = rows.select(*keys, ordered, F.inline(entries).alias("message_id", "value"))
     last = said.groupBy(*keys, "message_id").agg(F.max_by("value", "_o").alias("value"))
-    # every key keeps a row, whatever it holds
+    # every key keeps a row, also if it holds nothing at all
     bodies = rows.select(*keys, ordered, *FIRST_OF)
     given = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in FIRST_OF))
-    bare = bodies.filter(~given).select(*keys).distinct()
+    bare = rows.filter(~given & (F.size(entries) == 0)).select(*keys).distinct()
     nulls = {f: F.lit(None).cast(bodies.schema[f].dataType) for f in ("_o", *FIRST_OF)}
     no_entry = F.lit(None).cast("struct<message_id:string,value:string>")
     parts = [

@@ -14,9 +14,11 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).withColumn("_seq", F.monotonically_increasing_id())
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """The lines as a stream: every delivered file is read once (batches number their rows)."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 64, bytes_per_trigger: int | None = None) -> DataFrame:
+    """The lines as a stream: every delivered file is read once (batches number their rows).
+    A batch is bounded by files or, if given, by their bytes."""
+    bound = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
+    return spark.readStream.option(*bound).text(path)
 
 
 def valid_message_id(ident):

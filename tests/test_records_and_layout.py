@@ -43,6 +43,17 @@ def test_three_states_of_null(spark):
     assert (rows[2]["item"], rows[2]["rewards"], rows[2]["decision_id"]) == (None, '{"%s":-10}' % REWARD["message_id"], ID)
 
 
+def test_tracked_ids_and_bounded_batches(spark, tmp_path):
+    ids = spark.createDataFrame([(ID,), ("x" * 27,), ("x" * 26,), ("-" * 27,), (None,)], "i string")
+    assert [r[0] for r in ids.select(tracks.valid_message_id(F.col("i"))).collect()] == [True, True, False, False, False]
+    for k in range(3):
+        (tmp_path / f"{k}.txt").write_text(json.dumps(GOOD) * 2)
+    seen = []
+    lines_ = tracks.stream_lines(spark, str(tmp_path / "*.txt"), bytes_per_trigger=300)
+    lines_.writeStream.foreachBatch(lambda df, n: seen.append(df.count())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(seen) == 3 and len(seen) > 1
+
+
 def manifest(spark, rows):
     return spark.createDataFrame([("m", f"p{k:03}", lo, hi, n) for k, (lo, hi, n) in enumerate(rows)], "model string, path string, min_ts string, max_ts string, row_count long")
 
