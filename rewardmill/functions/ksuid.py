@@ -60,7 +60,8 @@ def is_valid(ident: Column, now: Column | float) -> Column:
 
 def iso_basic(ident: Column) -> Column:
     """UTC time of an id as YYYYmmddTHHMMSSZ, whatever the session's time zone."""
-    return iso_basic_seconds(seconds(ident))
+    # a lambda's argument is computed once, a column's expression at each of its uses
+    return F.get(F.transform(F.array(seconds(ident)), iso_basic_seconds), F.lit(0))
 
 
 def iso_basic_seconds(unix: Column) -> Column:

@@ -37,11 +37,8 @@ def merge_groups(spark: SparkSession, root: str, groups: dict[tuple[str, int], l
     paths = [p for some in groups.values() for p in some]
     rows = partitions.read_files(spark, paths).join(spark.createDataFrame(member, "model string, group_no int, _file string"), "_file")
     merged = merge.merge(rows.withColumn("_seq", F.struct("_file", "_row")), ["model", "group_no", "decision_id"])
-    cut, chunk = chunked(merged.persist(), ["model", "group_no"], config.max_rows)
-    try:
-        partitions.replace_files(spark, cut.select("model", *schemas.COLUMNS, chunk.alias("_c")), root, paths, F.col("_c"))
-    finally:
-        merged.unpersist()
+    cut, chunk = chunked(merged, ["model", "group_no"], config.max_rows)
+    partitions.replace_files(spark, cut.select("model", *schemas.COLUMNS, chunk.alias("_c")), root, paths, F.col("_c"))
 
 
 def compact_once(spark: SparkSession, root: str, config: LayoutConfig, now: Column | float) -> Turn:

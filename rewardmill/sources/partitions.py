@@ -207,6 +207,12 @@ def skipped_files(manifest: DataFrame, rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------------ writing
 
 
+def list_staged(spark: SparkSession, staging: str) -> bool:
+    """Whether a write left any folder of rows behind."""
+    p, fs = _files(spark, staging)
+    return any(s.isDirectory() and not s.getPath().getName().startswith("_temporary") for s in fs.listStatus(p))
+
+
 def time_parts(decision_id: Column) -> dict[str, Column]:
     """Path parts of the day an id falls on (UTC)."""
     day = ksuid.iso_basic(decision_id)
@@ -235,6 +241,9 @@ def write_partitions(rows: DataFrame, root: str, chunk: Column, tag: str = "") -
         .select("model", "_chunk", *schemas.COLUMNS)
         .write.option("compression", "zstd").partitionBy("model", "_chunk").parquet(staging)
     )
+    if not list_staged(spark, staging):
+        remove(spark, staging)
+        return []
     written = spark.read.schema("decision_id string, model string, _chunk string").parquet(staging)
     facts = written.groupBy("model", F.col("_metadata.file_path").alias("path")).agg(
         F.min("decision_id").alias("low"), F.max("decision_id").alias("high"), F.count(F.lit(1)).alias("n")

@@ -11,13 +11,18 @@ from rewardmill.config import LayoutConfig
 from rewardmill.functions import ksuid
 from rewardmill.operators import layout, merge, records
 from rewardmill.sources import partitions
+from rewardmill.sources.scratch import checkpointed
 
 
 def chunked(merged: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, Column]:
-    """``merged`` and the chunk of each row: as much of its id's time as keeps chunks small."""
-    time = ksuid.iso_basic(F.col("decision_id"))
-    levels = layout.split_levels(merged, keys, time, max_rows)
-    return merged.join(levels.select(*keys, "level"), keys), F.concat_ws("/", *keys, layout.chunk_of(time, F.col("level")))
+    """``merged`` and the chunk of each row: as much of its id's time as keeps chunks small.
+
+    Merged rows are written once with their time, then counted and dealt from there.
+    """
+    timed = checkpointed(merged.withColumn("_time", ksuid.iso_basic(F.col("decision_id"))))
+    levels = layout.split_levels(timed, keys, F.col("_time"), max_rows)
+    small = F.broadcast(levels.select(*keys, "level"))  # a row a model or group of files
+    return timed.join(small, keys), F.concat_ws("/", *keys, layout.chunk_of(F.col("_time"), F.col("level")))
 
 
 def ingest(
@@ -38,9 +43,8 @@ def ingest(
         parsed = records.parse(numbered, now).persist()
         try:
             merged = merge.merge(records.to_rewarded_decisions(parsed), ["model", "decision_id"])
-            if not merged.isEmpty():
-                rows, chunk = chunked(merged, ["model"], config.max_rows)
-                partitions.write_partitions(rows, root, chunk, tag=f"batch-{number}")
+            rows, chunk = chunked(merged, ["model"], config.max_rows)
+            partitions.write_partitions(rows, root, chunk, tag=f"batch-{number}")
             records.rejects(parsed).write.mode("overwrite").parquet(f"{root}/rejects/batch={number}")
         finally:
             parsed.unpersist()
