@@ -169,7 +169,7 @@ def quarantine_scan(spark, sf_dir):
         moved = len(stop.paths)
     assert partitions.list_files(spark, f"{home}/unrecoverable").count() == moved
     name = partitions.manifest(spark, home).select("model", partitions.file_name(F.col("path")).alias("_file"))
-    rows = partitions.read_sound(spark, home, paths(), NOW).join(name, "_file")
+    rows = partitions.with_facts(partitions.read_sound(spark, home, paths(), NOW), name)
     return rows.groupBy("model").agg(
         F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("n_rows"), F.lit(moved).alias("moved")
     )

@@ -159,6 +159,15 @@ def read_files(spark: SparkSession, paths) -> DataFrame:
     return rows.select(*schemas.COLUMNS, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
+def with_facts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` (of :func:`read_files`) with what ``files`` says of their file, by ``_file``.
+
+    The listing, a row a file, goes to the rows: left to itself, Spark takes packed rows for the
+    smaller table by their bytes on disk, and gathers and unpacks all of them on the driver.
+    """
+    return rows.join(F.broadcast(files), "_file")
+
+
 def unsound_files(spark: SparkSession, paths, now: Column | float) -> list[str]:
     """Those of the files that hold an invalid decision_id; only that column is read."""
     rows = spark.read.schema("decision_id string").parquet(*_list(paths))

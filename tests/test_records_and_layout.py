@@ -192,3 +192,14 @@ def test_models_grooming_follows_time(spark):
     rows = [("05", "06", 4), ("01", "02", 4), ("03", "04", 4)]
     got = layout.groom_groups(manifest(spark, rows), LayoutConfig(max_rows=8)).collect()
     assert [r["paths"] for r in got] == [["p001", "p002"]]
+
+
+def _joins(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quarantine_sends_the_listing_to_the_rows(spark):
+    from rewardmill.plans.queries import QUERIES
+
+    plan = _joins(QUERIES["quarantine_scan"](spark, "/root/testdata/sf0.001"))
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
