@@ -61,7 +61,7 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
         empty = spark.createDataFrame([], schemas.REWARDED_DECISIONS)
         return empty.withColumn("model", F.lit("")).select("model", *schemas.COLUMNS)
     model = spark.createDataFrame([(r["model"], r["path"].rpartition("/")[2]) for r in files], "model string, _file string")
-    rows = partitions.read_files(spark, [r["path"] for r in files]).join(model, "_file")
+    rows = partitions.with_facts(partitions.read_files(spark, [r["path"] for r in files]), model)
     return merge.merge(rows.withColumn("_seq", F.struct("_file", "_row")), ["model", "decision_id"])
 
 

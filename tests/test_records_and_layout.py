@@ -203,3 +203,11 @@ def test_quarantine_sends_the_listing_to_the_rows(spark):
 
     plan = _joins(QUERIES["quarantine_scan"](spark, "/root/testdata/sf0.001"))
     assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+
+
+def test_reading_a_table_sends_the_listing_to_the_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    write_part(spark, table, "a", range(4), item='{"a":1}')
+    write_part(spark, table, "b", range(4))
+    plan = _joins(ingest.read_table(spark, table))
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
