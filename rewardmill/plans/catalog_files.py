@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rewardmill.config import LayoutConfig, TrainConfig
@@ -183,14 +183,15 @@ FROM events
 """)
 def compact_partitions(spark, sf_dir):
     """Decisions and their rewards lie in overlapping files; compaction merges them, so that
-    every decision is one row of one file."""
+    every decision is one row of one file, however many files a model's rows take: ``files``
+    counts those that hold the decision."""
     home = _written(spark, sf_dir)
     compaction.compact(spark, home, LayoutConfig(max_rows=1_000_000), NOW)
     files = partitions.manifest(spark, home).withColumn("_file", partitions.file_name(F.col("path")))
-    count = files.groupBy("model").agg(F.count(F.lit(1)).alias("files"))
     rows = partitions.read_files(spark, [r["path"] for r in files.select("path").collect()])
-    return rows.join(files.select("_file", "model"), "_file").join(count, "model").select(
-        "model", "decision_id", "item", "context", "count", "rewards", "reward", "files"
+    holding = F.size(F.collect_set("_file").over(Window.partitionBy("model", "decision_id"))).cast("long")
+    return partitions.with_facts(rows, files.select("_file", "model")).select(
+        "model", "decision_id", "item", "context", "count", "rewards", "reward", holding.alias("files")
     )
 
 

@@ -35,7 +35,7 @@ def merge_groups(spark: SparkSession, root: str, groups: dict[tuple[str, int], l
     deleted after the outputs are written."""
     member = [(m, g, p.rpartition("/")[2]) for (m, g), paths in groups.items() for p in paths]
     paths = [p for some in groups.values() for p in some]
-    rows = partitions.read_files(spark, paths).join(spark.createDataFrame(member, "model string, group_no int, _file string"), "_file")
+    rows = partitions.with_facts(partitions.read_files(spark, paths), spark.createDataFrame(member, "model string, group_no int, _file string"))
     merged = merge.merge(rows.withColumn("_seq", F.struct("_file", "_row")), ["model", "group_no", "decision_id"])
     cut, chunk = chunked(merged, ["model", "group_no"], config.max_rows)
     partitions.replace_files(spark, cut.select("model", *schemas.COLUMNS, chunk.alias("_c")), root, paths, F.col("_c"))

@@ -211,3 +211,23 @@ def test_reading_a_table_sends_the_listing_to_the_rows(spark, tmp_path):
     write_part(spark, table, "b", range(4))
     plan = _joins(ingest.read_table(spark, table))
     assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+
+
+def test_compaction_sends_the_listing_to_the_rows(spark, tmp_path, monkeypatch):
+    table, plans, merge = str(tmp_path / "t"), [], compaction.merge.merge
+    monkeypatch.setattr(compaction.merge, "merge", lambda rows, *a: plans.append(_joins(rows)) or merge(rows, *a))
+    for part in "ab":
+        write_part(spark, table, part, range(4), item='{"a":1}')
+    compaction.compact(spark, table, LayoutConfig(max_rows=100), 1.7e9)
+    assert len(plans) == 1 and "BuildRight" in plans[0] and "BuildLeft" not in plans[0]
+
+
+def test_compacted_decisions_lie_in_one_file_each_beyond_the_bound(spark, monkeypatch):
+    from rewardmill.plans import catalog_files
+
+    few = lambda max_rows: LayoutConfig(max_rows=min(max_rows, 30))
+    monkeypatch.setattr(catalog_files, "LayoutConfig", few)  # fewer than a model has: as beyond a million
+    got = catalog_files.compact_partitions(spark, "/root/testdata/sf0.001").cache()
+    assert got.count() == got.select("model", "decision_id").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert [r["files"] for r in got.select("files").distinct().collect()] == [1]
+    got.unpersist()
