@@ -18,6 +18,8 @@ from rewardmill.functions import names
 from rewardmill.sources import partitions
 
 MISSING = -1e6
+#: Values (rows by slots) from which on a fit's rows go to more than one task.
+VALUES_PER_TASK = 500_000
 REQUIRED = {"model_name": str, "string_tables": dict, "model_seed": int, "created_at": str, "version": str}
 
 
@@ -28,13 +30,23 @@ def as_vectors(rows: DataFrame, array: str = "features") -> DataFrame:
     return rows.withColumn("_v", array_to_vector(F.concat(filled, missing)))
 
 
+def packed(rows: DataFrame, vector: str = "_v") -> DataFrame:
+    """All ``rows`` in as many partitions as their values need, at most those they have.
+
+    A fit runs two stages for every level of every tree: tasks of a few thousand values take
+    longer to start than to run.
+    """
+    n, slots = rows.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array(vector)))).first()
+    return rows.coalesce(max(1, -(-n * (slots or 1) // VALUES_PER_TASK)))
+
+
 def fit_propensity(rows: DataFrame, config: TrainConfig, trees: int | None = None) -> GBTClassificationModel:
     """P(item was chosen) from features, y and w; rows flagged ``is_test`` stop it early."""
     gbt = GBTClassifier(
         featuresCol="_v", labelCol="y", weightCol="w", validationIndicatorCol="is_test", seed=config.seed,
         maxIter=trees or config.propensity_trees, maxDepth=config.tree_depth,
     )
-    return gbt.fit(as_vectors(rows))
+    return gbt.fit(packed(as_vectors(rows)))
 
 
 def propensity(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
@@ -49,7 +61,7 @@ def fit_decision(rows: DataFrame, config: TrainConfig, trees: int | None = None)
         featuresCol="_v", labelCol="y", weightCol="w", seed=config.seed, maxIter=trees or config.max_trees,
         maxDepth=config.tree_depth,
     )
-    return gbt.fit(as_vectors(rows))
+    return gbt.fit(packed(as_vectors(rows)))
 
 
 def predict(model, rows: DataFrame) -> DataFrame:

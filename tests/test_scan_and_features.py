@@ -191,6 +191,16 @@ def test_models_learn_and_load(spark, tmp_path):
     assert models.load_if_fresh(spark, str(tmp_path / "none"), config, now) is None
 
 
+def test_a_fit_takes_no_more_tasks_than_its_values_need(spark, monkeypatch):
+    monkeypatch.setattr(models.GBTRegressor, "fit", lambda self, rows: rows)
+    rows = spark.range(100, numPartitions=20).select("id", F.array(F.col("id").cast("float")).alias("features"))
+    one = models.fit_decision(rows, TrainConfig())
+    assert one.rdd.getNumPartitions() == 1 and one.count() == 100
+    monkeypatch.setattr(models, "VALUES_PER_TASK", 40)  # 100 rows of a value and a flag
+    assert models.fit_decision(rows, TrainConfig()).rdd.getNumPartitions() == 5
+    assert models.fit_decision(rows.filter("id < 0"), TrainConfig()).rdd.getNumPartitions() == 1
+
+
 def test_published_models_replace_the_latest(spark, tmp_path):
     rows = spark.range(60).select((F.col("id") % 2).cast("double").alias("y"), F.lit(1.0).alias("w"), F.array((F.col("id") % 2).cast("float")).alias("features"), (F.col("id") % 10 < 3).alias("is_test"))
     model = models.fit_propensity(rows, TrainConfig(tree_depth=1), trees=1)
