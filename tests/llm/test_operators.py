@@ -366,6 +366,21 @@ def test_nn_descent_recall(spark):
     assert 9020 not in got and nndescent.nearest(df.filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_nn_descent_keeps_only_what_its_result_reads(spark, monkeypatch):
+    made, real = [], nndescent.materialise
+    monkeypatch.setattr(nndescent, "materialise", lambda df: made.append(real(df)) or made[-1])
+    _, df = vectors(spark)
+    found = nndescent.nearest(df, F.col("vec_id") == 20, k=5, degree=6, iterations=1, beam=10, rounds=1)
+    where = lambda frames: {f.rpartition("/")[0] for d in frames for f in d.inputFiles()}
+    left = [f for f in where(made) if nndescent_files(spark, f)]
+    assert set(left) == where([found]) and found.count() == 5  # rows and all graphs are gone
+
+
+def nndescent_files(spark, folder):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_nn_descent_recall_on_many_vectors(spark):
     """The whole operator, with its own settings, where the first graph is far from exact."""
     n, dim = 20_000, 48
